@@ -12,13 +12,13 @@ from snapmart.settings import PRICE_SCALE
 _PLAIN_NUMBER = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)(E[+-]?[0-9]+)?$"
 
 
-def parse_count(shown: Column) -> Column:
-    """Counts as people write them: '2.9K', '1.5M', '1,234', '298'.
+def tidy_count(shown: Column) -> Column:
+    """Upper case, without commas and outer blanks."""
+    return F.trim(F.replace(F.upper(shown), F.lit(","), F.lit("")))
 
-    Unreadable plain text is 0.  Text with a K or M around something that is
-    no number gives NULL: callers reject that record.
-    """
-    tidy = F.trim(F.replace(F.upper(shown), F.lit(","), F.lit("")))
+
+def count_of_tidy(tidy: Column) -> Column:
+    """:func:`parse_count` for text that went through :func:`tidy_count`."""
 
     def scaled(letter: str, factor: int) -> Column:
         digits = F.trim(F.replace(tidy, F.lit(letter), F.lit("")))
@@ -27,13 +27,22 @@ def parse_count(shown: Column) -> Column:
         )
 
     return (
-        F.when(shown.isNull(), F.lit(0).cast("bigint"))
+        F.when(tidy.isNull(), F.lit(0).cast("bigint"))
         .when(F.contains(tidy, F.lit("K")), scaled("K", 1_000))
         .when(F.contains(tidy, F.lit("M")), scaled("M", 1_000_000))
         .otherwise(whole(tidy))
     )
 
 
+def parse_count(shown: Column) -> Column:
+    """Counts as people write them: '2.9K', '1.5M', '1,234', '298'.
+
+    Unreadable plain text is 0.  Text with a K or M around something that is
+    no number gives NULL: callers reject that record.
+    """
+    return count_of_tidy(tidy_count(shown))
+
+
 def whole(value: Column) -> Column:
     """Text or number to BIGINT, 0 when it is missing or unreadable."""
     return F.coalesce(value.try_cast("bigint"), F.lit(0).cast("bigint"))

@@ -14,6 +14,12 @@ from snapmart.settings import JSON_GUARDS
 
 _EMPTY_SHOWN = r"^(\{\}|\[\]|false|-?0(\.0+)?)$"
 
+# A body is parsed inside this frame.  Spark's parser stops after the first value
+# of a text; inside the frame anything behind that value makes it unreadable.
+_OPEN, _CLOSE = '[[{"v":[[', "]]}]]"
+_ROOT = "$[0][0].v[0][0]"
+_SECOND = "$[0][0].v[0][1]"
+
 
 def node_at(doc: Column, path: str) -> Column:
     """The sub-document at a path; NULL when any step is missing."""
@@ -30,14 +36,9 @@ def long_at(doc: Column, path: str) -> Column:
     return F.try_variant_get(doc, path, "bigint")
 
 
-def double_at(doc: Column, path: str) -> Column:
-    """The value at a path as a double (numeric text included)."""
-    return F.try_variant_get(doc, path, "double")
-
-
-def list_at(doc: Column, path: str) -> Column:
-    """The array at a path; NULL when it is missing or not an array."""
-    return F.try_variant_get(doc, path, "array<variant>")
+def has_value(value: Column) -> Column:
+    """Present and not a JSON null."""
+    return value.isNotNull() & ~F.is_variant_null(value)
 
 
 def is_text(value: Column) -> Column:
@@ -45,27 +46,36 @@ def is_text(value: Column) -> Column:
     return F.schema_of_variant(value) == F.lit("STRING")
 
 
-def is_object(value: Column) -> Column:
-    """Whether a variant holds a JSON object."""
-    return F.coalesce(F.schema_of_variant(value).startswith("OBJECT"), F.lit(False))
-
-
 def truthy(value: Column) -> Column:
     """Whether a variant is neither missing, null, zero, false nor empty."""
-    shown = value.cast("string")
-    return F.coalesce((shown != "") & (~shown.rlike(_EMPTY_SHOWN) | is_text(value)), F.lit(False))
+    shown = value.try_cast("string")
+    looks_empty = shown.rlike(_EMPTY_SHOWN)
+    return F.coalesce((shown != "") & (~looks_empty | is_text(value)), F.lit(False))
 
 
-def truthy_text_at(doc: Column, path: str) -> Column:
-    """The text at a path, or NULL when the value there is empty in any sense."""
-    return F.when(truthy(node_at(doc, path)), text_at(doc, path))
+def truthy_text(value: Column) -> Column:
+    """A variant as text, or NULL when it is empty in any sense."""
+    return F.when(truthy(value), value.try_cast("string"))
 
 
-def whole_or_zero(doc: Column, path: str) -> Column:
-    """Empty values give 0, numbers and numeric text their value, all else NULL."""
-    return F.when(~truthy(node_at(doc, path)), F.lit(0).cast("bigint")).otherwise(
-        long_at(doc, path)
-    )
+def truthy_long(value: Column) -> Column:
+    """0 for empty values, the number for numbers and numeric text, else NULL."""
+    empty = F.coalesce(value.try_cast("string"), F.lit("")).isin("", "{}", "[]")
+    return F.coalesce(value.try_cast("bigint"), F.when(empty, F.lit(0)))
+
+
+def filled(text: Column) -> Column:
+    """Text, or NULL when it is empty."""
+    return F.nullif(text, F.lit(""))
+
+
+def shaped_at(doc: Column, path: str, shape: str) -> Column:
+    """The value at a path as one typed value, in a single walk.
+
+    Missing keys and values of another kind become NULL where they are, without
+    affecting the rest.
+    """
+    return F.try_variant_get(doc, path, shape)
 
 
 def without_guard(body: Column) -> Column:
@@ -76,25 +86,46 @@ def without_guard(body: Column) -> Column:
     return cut
 
 
-def decode_json(body: Column) -> Column:
-    """Strict decoding; NULL for anything that is not one JSON value."""
-    return F.try_parse_json(body)
-
+def framed(body: Column) -> Column:
+    """A body decoded inside the frame; see :func:`in_frame` and :func:`is_single`."""
+    return F.try_parse_json(F.concat(F.lit(_OPEN), body, F.lit(_CLOSE)))
 
-def decode_tolerant(body: Column) -> Column:
-    """As is, then without a guard, then from the first ``{``, then from ``[``.
 
-    A body that decodes to a bare JSON null counts as undecodable.
-    """
+def framed_tolerant(body: Column) -> Column:
+    """As is, then without a guard, then from the first ``{``, then from ``[``."""
+    guarded = F.lit(False)
+    for guard in JSON_GUARDS:
+        guarded = guarded | body.startswith(guard)
 
     def from_first(mark: str) -> Column:
         start = F.instr(body, mark)
-        return F.when(start > 0, F.try_parse_json(F.substr(body, start)))
+        return F.when(start > 1, framed(F.substr(body, start)))
 
-    decoded = F.coalesce(
-        F.try_parse_json(body),
-        F.try_parse_json(without_guard(body)),
+    return F.coalesce(
+        framed(body),
+        F.when(guarded, framed(without_guard(body))),
         from_first("{"),
         from_first("["),
     )
-    return F.when(~F.is_variant_null(decoded), decoded)
+
+
+def in_frame(path: str) -> str:
+    """A path of the body as a path of its framed form."""
+    return _ROOT + path[1:]
+
+
+def is_single(doc: Column) -> Column:
+    """Whether a framed body held one value only."""
+    return node_at(doc, _SECOND).isNull()
+
+
+def decode_json(body: Column) -> Column:
+    """Strict decoding; NULL for anything that is not exactly one JSON value."""
+    doc = framed(body)
+    return F.when(is_single(doc), node_at(doc, _ROOT))
+
+
+def decode_tolerant(body: Column) -> Column:
+    """Decoding with the fallbacks of :func:`framed_tolerant`; NULL when all fail."""
+    doc = framed_tolerant(body)
+    return F.when(is_single(doc), node_at(doc, _ROOT))

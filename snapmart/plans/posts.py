@@ -10,27 +10,61 @@ from pyspark.sql import functions as F
 from snapmart import settings
 from snapmart.functions import numbers, texts, times
 from snapmart.functions.variants import (
-    decode_tolerant,
+    filled,
     is_text,
-    list_at,
-    node_at,
-    text_at,
+    shaped_at,
     truthy,
-    truthy_text_at,
-    whole_or_zero,
+    truthy_long,
+    truthy_text,
 )
 from snapmart.operators import filters
 from snapmart.operators.latest import attach_latest_selective
 from snapmart.operators.merge import MergePolicy
 from snapmart.operators.ranking import top
-from snapmart.sources.responses import explode_records, has_value, post_edges
-
-# FIXED VALUES: where things are in a search result.
-STORY = "$.rendering_strategy.view_model.click_model.story"
-CONTENT = "$.comet_sections.content.story"
-CONTEXT = "$.comet_sections.context_layout.story.comet_sections"
+from snapmart.sources.responses import explode_records
+
+# FIXED VALUES: where the results of a search are and how one is built.
+RESULT_PATHS = ("$.data.serpResponse.results.edges", "$.data.results.edges")
+_PERSON = "struct<id: string, name: string>"
+_MEDIA = """
+    struct<__typename: string, id: string, url: string,
+           thumbnailImage: struct<uri: string>,
+           preferred_story_attachment_image: struct<uri: string>>"""
+_FEEDBACK = """
+    struct<
+      i18n_reaction_count: variant,
+      top_reactions: struct<edges: array<struct<
+        reaction_count: variant, i18n_reaction_count: variant,
+        node: struct<localized_name: string, reaction_type: string>>>>,
+      share_count: struct<count: variant>,
+      comments_count_summary_renderer: struct<feedback: struct<
+        comment_rendering_instance: struct<comments: struct<total_count: variant>>>>>"""
+_STORY = f"""
+    struct<
+      id: string,
+      __typename: string,
+      message: struct<text: string>,
+      attachments: array<struct<styles: struct<attachment: struct<url: string, media: variant>>>>,
+      comet_sections: struct<
+        content: struct<story: struct<
+          actors: array<{_PERSON}>,
+          comet_sections: struct<message: struct<story: struct<message: struct<text: string>>>>>>,
+        timestamp: struct<story: struct<creation_time: variant>>,
+        context_layout: struct<story: struct<comet_sections: struct<
+          actor_photo: struct<story: struct<actors: array<{_PERSON}>>>,
+          metadata: array<struct<story: struct<creation_time: variant>>>>>>,
+        feedback: struct<story: struct<story_ufi_container: struct<story: struct<
+          feedback_context: struct<feedback_target_with_context: struct<
+            owning_profile: {_PERSON},
+            comet_ufi_summary_and_actions_renderer: struct<feedback: {_FEEDBACK}>>>>>>>>>"""
+RESULT_SHAPE = (
+    f"struct<rendering_strategy: struct<view_model: struct<click_model: struct<story: {_STORY}>>>>"
+)
+STORY = "record.rendering_strategy.view_model.click_model.story"
+CONTENT = "story.comet_sections.content.story"
+CONTEXT = "story.comet_sections.context_layout.story.comet_sections"
 TARGET = (
-    "$.comet_sections.feedback.story.story_ufi_container.story"
+    "story.comet_sections.feedback.story.story_ufi_container.story"
     ".feedback_context.feedback_target_with_context"
 )
 FEEDBACK = f"{TARGET}.comet_ufi_summary_and_actions_renderer.feedback"
@@ -56,120 +90,107 @@ POLICY = MergePolicy(
 )
 
 
-def _author(story: Column) -> Column:
+def _first(path: str) -> Column:
+    return F.get(F.col(path), F.lit(0))
+
+
+def _author() -> Column:
     """Struct (id, name) of the author, looked for in three places."""
     places = [
-        node_at(story, f"{CONTENT}.actors[0]"),
-        node_at(story, f"{TARGET}.owning_profile"),
-        node_at(story, f"{CONTEXT}.actor_photo.story.actors[0]"),
+        _first(f"{CONTENT}.actors"),
+        F.col(f"{TARGET}.owning_profile"),
+        _first(f"{CONTEXT}.actor_photo.story.actors"),
     ]
-    ids = [truthy_text_at(p, "$.id") for p in places]
-    names = [truthy_text_at(p, "$.name") for p in places]
+    ids = [filled(p["id"]) for p in places]
 
     # Without any id the last place that exists decides about the name.
-    exists = [has_value(places[0]), truthy(places[1]), has_value(places[2])]
-    last_name = F.lit(None).cast("string")
-    for there, name in zip(exists, names, strict=True):
-        last_name = F.when(there, name).otherwise(last_name)
-    fallback_name = F.coalesce(last_name, names[0], F.lit(settings.UNKNOWN_AUTHOR))
-    number = texts.surrogate_number(fallback_name, settings.SURROGATE_MODULUS)
-    fallback = F.struct(
+    last = F.when(places[2].isNotNull(), places[2]["name"]).when(
+        places[1].isNotNull(), places[1]["name"]
+    )
+    name = F.coalesce(
+        filled(last), filled(places[0]["name"]), F.lit(settings.UNKNOWN_AUTHOR)
+    )
+    number = texts.surrogate_number(name, settings.SURROGATE_MODULUS)
+    nameless = F.struct(
         F.concat(F.lit(settings.AUTHOR_ID_PREFIX), number.cast("string")).alias("id"),
-        fallback_name.alias("name"),
+        name.alias("name"),
     )
     found = [
-        F.struct(i.alias("id"), text_at(p, "$.name").alias("name"))
+        F.when(i.isNotNull(), F.struct(i.alias("id"), p["name"].alias("name")))
         for i, p in zip(ids, places, strict=True)
     ]
-    return (
-        F.when(ids[0].isNotNull(), found[0])
-        .when(ids[1].isNotNull(), found[1])
-        .when(ids[2].isNotNull(), found[2])
-        .otherwise(fallback)
-    )
+    return F.coalesce(*found, nameless)
 
 
-def _reaction_entries(feedback: Column) -> Column:
+def _reaction_entries() -> Column:
     """Array of (name, count) in order; a count is NULL when it is unreadable."""
 
-    def entry(edge: Column) -> Column:
-        name = F.coalesce(
-            truthy_text_at(edge, "$.node.localized_name"), text_at(edge, "$.node.reaction_type")
-        )
-        shown = F.coalesce(
-            truthy_text_at(edge, "$.reaction_count"), truthy_text_at(edge, "$.i18n_reaction_count")
-        )
-        return F.struct(
-            name.alias("name"), shown.alias("shown"), numbers.parse_count(shown).alias("count")
-        )
+    def named(name: Column, shown: Column) -> Column:
+        return F.struct(name.alias("name"), numbers.tidy_count(shown).alias("shown"))
 
-    total = truthy_text_at(feedback, "$.i18n_reaction_count")
-    first = F.array(
-        F.struct(
-            F.lit("total").alias("name"),
-            total.alias("shown"),
-            numbers.parse_count(total).alias("count"),
-        )
-    )
-    edges = F.coalesce(
-        F.transform(list_at(feedback, "$.top_reactions.edges"), entry), F.array().cast(
-            "array<struct<name:string,shown:string,count:bigint>>"
+    def of_edge(edge: Column) -> Column:
+        node = edge["node"]
+        return named(
+            F.coalesce(filled(node["localized_name"]), node["reaction_type"]),
+            F.coalesce(
+                truthy_text(edge["reaction_count"]), truthy_text(edge["i18n_reaction_count"])
+            ),
         )
+
+    total = named(F.lit("total"), truthy_text(F.col(f"{FEEDBACK}.i18n_reaction_count")))
+    edges = F.transform(F.col(f"{FEEDBACK}.top_reactions.edges"), of_edge)
+    none = F.array().cast("array<struct<name:string,shown:string>>")
+    spelled = F.filter(
+        F.concat(F.array(total), F.coalesce(edges, none)),
+        lambda e: (e["name"] != "") & e["shown"].isNotNull(),
     )
-    return F.filter(
-        F.concat(first, edges), lambda e: (e["name"] != "") & e["shown"].isNotNull()
+    return F.transform(
+        spelled,
+        lambda e: F.struct(
+            e["name"].alias("name"), numbers.count_of_tidy(e["shown"]).alias("count")
+        ),
     )
 
 
 def _reaction_map(entries: Column) -> Column:
     """Map name to count; a name that comes again replaces the earlier one."""
-    lasting = F.filter(
-        entries,
-        lambda e, i: ~F.exists(
-            F.slice(entries, i + F.lit(2), F.size(entries)), lambda later: later["name"] == e["name"]
-        ),
-    )
-    return F.map_from_entries(
-        F.transform(lasting, lambda e: F.struct(e["name"].alias("key"), e["count"].alias("value")))
-    )
 
+    def is_last(e: Column, i: Column) -> Column:
+        later = F.slice(entries, i + F.lit(2), F.size(entries))
+        return ~F.exists(later, lambda other: other["name"] == e["name"])
 
-def _attachments(story: Column) -> Column:
+    distinct = F.size(F.array_distinct(entries["name"])) == F.size(entries)
+    return F.map_from_entries(F.when(distinct, entries).otherwise(F.filter(entries, is_last)))
+
+
+def _attachments() -> Column:
     """Array of (type, id, url, thumbnail) of the attachments that have media."""
 
+    def opened(item: Column) -> Column:
+        holder = item["styles"]["attachment"]
+        return F.struct(
+            F.when(truthy(holder["media"]), filled(holder["url"])).alias("url"),
+            F.when(truthy(holder["media"]), shaped_at(holder["media"], "$", _MEDIA)).alias("media"),
+        )
+
     def one(item: Column) -> Column:
-        media = node_at(item, "$.styles.attachment.media")
+        media = item["media"]
         return F.struct(
-            truthy(media).alias("has_media"),
-            text_at(media, "$.__typename").alias("type"),
-            text_at(media, "$.id").alias("id"),
-            F.coalesce(
-                truthy_text_at(item, "$.styles.attachment.url"), text_at(media, "$.url")
-            ).alias("url"),
+            media["__typename"].alias("type"),
+            media["id"].alias("id"),
+            F.coalesce(item["url"], media["url"]).alias("url"),
             F.coalesce(
-                truthy_text_at(media, "$.thumbnailImage.uri"),
-                text_at(media, "$.preferred_story_attachment_image.uri"),
+                filled(media["thumbnailImage"]["uri"]),
+                media["preferred_story_attachment_image"]["uri"],
             ).alias("thumbnail"),
         )
 
-    def filled(value: Column) -> Column:
-        return F.coalesce(value != "", F.lit(False))
-
-    present = F.filter(
-        F.transform(list_at(story, "$.attachments"), one),
-        lambda a: a["has_media"] & (filled(a["url"]) | filled(a["id"])),
+    found = F.filter(
+        F.transform(F.transform(F.col("story.attachments"), opened), one),
+        lambda a: filled(a["url"]).isNotNull() | filled(a["id"]).isNotNull(),
     )
-    shaped = F.transform(
-        present,
-        lambda a: F.struct(
-            a["type"].alias("type"),
-            a["id"].alias("id"),
-            a["url"].alias("url"),
-            a["thumbnail"].alias("thumbnail"),
-        ),
-    )
-    empty = F.array().cast("array<struct<type:string,id:string,url:string,thumbnail:string>>")
-    return F.coalesce(shaped, empty)
+    none = F.array().cast("array<struct<type:string,id:string,url:string,thumbnail:string>>")
+    return F.coalesce(found, none)
 
 
 def flatten(responses: DataFrame) -> DataFrame:
@@ -178,35 +199,38 @@ def flatten(responses: DataFrame) -> DataFrame:
     Output: the response columns (``keyword``, ``seq``, ...), ``pos`` and the
     record's fields.  Records without id, text and attachments are dropped.
     """
-    edges = explode_records(responses, post_edges(decode_tolerant(F.col("body"))))
+    edges = explode_records(responses, RESULT_SHAPE, *RESULT_PATHS)
     carried = [c for c in edges.columns if c != "record"]
-    story = F.col("story")
-    published = node_at(story, "$.comet_sections.timestamp.story.creation_time")
-    published_too = node_at(story, f"{CONTEXT}.metadata[1].story.creation_time")
+    published = F.col("story.comet_sections.timestamp.story.creation_time")
+    published_too = F.get(F.col(f"{CONTEXT}.metadata"), F.lit(1))["story"]["creation_time"]
     publish = F.when(truthy(published), published).otherwise(published_too)
     text = F.coalesce(
-        truthy_text_at(story, f"{CONTENT}.comet_sections.message.story.message.text"),
-        truthy_text_at(story, "$.message.text"),
+        filled(F.col(f"{CONTENT}.comet_sections.message.story.message.text")),
+        filled(F.col("story.message.text")),
         F.lit(""),
     )
-    shaped = edges.select(*carried, node_at(F.col("record"), STORY).alias("story")).select(
+    views = F.try_variant_get(
+        _first("story.attachments")["styles"]["attachment"]["media"],
+        "$.video_view_count",
+        "variant",
+    )
+    shaped = edges.select(*carried, F.col(STORY).alias("story")).select(
         *carried,
-        truthy_text_at(story, "$.id").alias("id"),
-        F.coalesce(text_at(story, "$.__typename"), F.lit("Story")).alias("type"),
+        filled(F.col("story.id")).alias("id"),
+        F.coalesce(F.col("story.__typename"), F.lit("Story")).alias("type"),
         text.alias("text"),
-        _author(story).alias("author"),
+        _author().alias("author"),
         # Text is no valid publish time.
         F.when(~is_text(publish), publish.try_cast("bigint")).alias("publish_time"),
-        whole_or_zero(story, COMMENT_TOTAL).alias("comment_count"),
-        whole_or_zero(story, f"{FEEDBACK}.share_count.count").alias("share_count"),
-        whole_or_zero(
-            story, "$.attachments[0].styles.attachment.media.video_view_count"
-        ).alias("view_count"),
-        _reaction_entries(node_at(story, FEEDBACK)).alias("entries"),
-        _attachments(story).alias("attachments"),
+        truthy_long(F.col(COMMENT_TOTAL)).alias("comment_count"),
+        truthy_long(F.col(f"{FEEDBACK}.share_count.count")).alias("share_count"),
+        truthy_long(views).alias("view_count"),
+        _reaction_entries().alias("entries"),
+        _attachments().alias("attachments"),
+    )
+    kept = filters.with_content(
+        shaped.where(F.col("id").isNotNull()), "text", "attachments"
     )
-    kept = shaped.where(F.col("id").isNotNull())
-    kept = filters.with_content(kept, "text", "attachments")
     unreadable = (
         F.col("comment_count").isNull()
         | F.col("share_count").isNull()

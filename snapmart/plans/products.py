@@ -7,18 +7,21 @@ from pyspark.sql import functions as F
 
 from snapmart import settings
 from snapmart.functions import numbers, texts, times
-from snapmart.functions.variants import (
-    decode_tolerant,
-    double_at,
-    long_at,
-    node_at,
-    text_at,
-    truthy_text_at,
-)
+from snapmart.functions.variants import has_value
 from snapmart.operators import filters
 from snapmart.operators.merge import MergePolicy
 from snapmart.operators.ranking import top
-from snapmart.sources.responses import explode_records, has_value, product_items
+from snapmart.sources.responses import explode_records
+
+# FIXED VALUES: the parts of a product element that are read.
+ITEMS_PATH = "$.items"
+ITEM_SHAPE = """
+    struct<item_basic: struct<
+      itemid: bigint, shopid: bigint, name: string,
+      price: variant, price_min: variant, price_before_discount: variant,
+      sold: bigint, historical_sold: bigint,
+      item_rating: struct<rating_star: variant, rating_count: array<bigint>>,
+      flash_sale: boolean, ctime: variant>>"""
 
 FIELDS = (
     "shopid",
@@ -44,58 +47,47 @@ POLICY = MergePolicy(
 
 def flatten(responses: DataFrame, zone: str = "UTC") -> DataFrame:
     """Product records; ``problem`` marks those with an unreadable price or rating."""
-    items = explode_records(responses, product_items(decode_tolerant(F.col("body"))))
+    items = explode_records(responses, ITEM_SHAPE, ITEMS_PATH)
     carried = [c for c in items.columns if c not in ("record", "keyword")]
-    record = F.col("record")
+    item = F.col("record.item_basic")
+    zero = F.lit(0).cast("bigint")
 
-    def present(path: str) -> Column:
-        return has_value(node_at(record, path))
+    def amount(value: Column, missing: Column) -> Column:
+        return F.when(has_value(value), value.try_cast("double")).otherwise(missing)
 
-    units = (
-        F.when(present("$.price"), double_at(record, "$.price"))
-        .when(present("$.price_min"), double_at(record, "$.price_min"))
-        .otherwise(F.lit(0.0))
-    )
-    stars = double_at(record, "$.item_rating.rating_star")
-    created = node_at(record, "$.ctime")
+    units = amount(item["price"], amount(item["price_min"], F.lit(0.0)))
+    created = item["ctime"]
     shaped = items.select(
         *carried,
-        long_at(record, "$.itemid").alias("itemid"),
-        truthy_text_at(record, "$.itemid").alias("_has_id"),
-        long_at(record, "$.shopid").alias("shopid"),
-        texts.clean_spaces(F.coalesce(text_at(record, "$.name"), F.lit(""))).alias("name"),
-        units.alias("units"),
-        F.when(
-            present("$.price_before_discount"), double_at(record, "$.price_before_discount")
-        )
-        .otherwise(units)
-        .alias("units_before"),
-        numbers.whole(text_at(record, "$.sold")).alias("sold_recent"),
-        numbers.whole(text_at(record, "$.historical_sold")).alias("sold_total"),
-        F.coalesce(present("$.item_rating.rating_star") & stars.isNull(), F.lit(False)).alias(
-            "_bad_rating"
+        item["itemid"].alias("itemid"),
+        item["shopid"].alias("shopid"),
+        texts.clean_spaces(F.coalesce(item["name"], F.lit(""))).alias("name"),
+        numbers.from_price_units(units).alias("price"),
+        numbers.from_price_units(amount(item["price_before_discount"], units)).alias(
+            "price_before_discount"
+        ),
+        F.coalesce(item["sold"], zero).alias("sold_recent"),
+        F.coalesce(item["historical_sold"], zero).alias("sold_total"),
+        numbers.two_places(amount(item["item_rating"]["rating_star"], F.lit(0.0))).alias(
+            "rating_star"
         ),
-        numbers.two_places(F.coalesce(stars, F.lit(0.0))).alias("rating_star"),
-        numbers.whole(text_at(record, "$.item_rating.rating_count[0]")).alias("rating_count"),
-        F.coalesce(F.try_variant_get(record, "$.flash_sale", "boolean"), F.lit(False)).alias(
-            "flash_sale"
+        F.coalesce(F.get(item["item_rating"]["rating_count"], F.lit(0)), zero).alias(
+            "rating_count"
         ),
+        F.coalesce(item["flash_sale"], F.lit(False)).alias("flash_sale"),
         # A missing time is epoch 0, an explicit null has no date.
         times.day_text(
-            F.when(created.isNull(), F.lit(0)).otherwise(created.try_cast("bigint")), zone
+            F.when(created.isNull(), zero).otherwise(created.try_cast("bigint")), zone
         ).alias("ctime"),
         F.col("keyword").alias("category"),
-    ).where(F.col("_has_id").isNotNull() & F.col("itemid").isNotNull())
-    priced = shaped.withColumns(
-        {
-            "price": numbers.from_price_units(F.col("units")),
-            "price_before_discount": numbers.from_price_units(F.col("units_before")),
-        }
     )
+    kept = filters.drop_without_key(shaped, "itemid")
     unreadable = (
-        F.col("price").isNull() | F.col("price_before_discount").isNull() | F.col("_bad_rating")
+        F.col("price").isNull()
+        | F.col("price_before_discount").isNull()
+        | F.col("rating_star").isNull()
     )
-    return priced.withColumns(
+    return kept.withColumns(
         {
             "discount": numbers.discount_text(F.col("price_before_discount"), F.col("price")),
             "problem": F.when(unreadable, "unreadable price or rating"),

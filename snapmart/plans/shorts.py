@@ -8,19 +8,23 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from snapmart import settings
-from snapmart.functions import numbers, times
-from snapmart.functions.variants import (
-    decode_tolerant,
-    node_at,
-    text_at,
-    truthy,
-    truthy_text_at,
-)
+from snapmart.functions import times
+from snapmart.functions.variants import filled, shaped_at, truthy
 from snapmart.operators import filters
 from snapmart.operators.dedup import first_rows
 from snapmart.operators.merge import MergePolicy
 from snapmart.operators.ranking import top
-from snapmart.sources.responses import explode_records, short_items
+from snapmart.sources.responses import explode_records
+
+# FIXED VALUES: the parts of a search element that are read.
+DATA_PATH = "$.data"
+_COUNTS = """
+    struct<diggCount: bigint, shareCount: bigint, commentCount: bigint,
+           playCount: bigint, collectCount: bigint>"""
+_VIDEO = """
+    struct<id: string, video: struct<id: string>, desc: string, createTime: bigint,
+           author: struct<uniqueId: string, nickname: string>,
+           stats: variant, statsV2: variant>"""
 
 POLICY = MergePolicy(
     key="id",
@@ -37,39 +41,43 @@ POLICY = MergePolicy(
 
 
 def flatten(responses: DataFrame) -> DataFrame:
-    """Short-video records; the category is the keyword of the request."""
-    items = explode_records(responses, short_items(decode_tolerant(F.col("body"))))
+    """Short-video records; the category is the keyword of the request.
+
+    Elements that are no objects are skipped; an element's ``item``, if it has
+    one, takes the element's place.
+    """
+    items = explode_records(responses, "variant", DATA_PATH)
     carried = [c for c in items.columns if c not in ("record", "keyword")]
-    record = F.col("record")
-    first, second = node_at(record, "$.stats"), node_at(record, "$.statsV2")
-    prepared = items.select(
+    wrapped = F.try_variant_get("record", "$.item", "variant")
+    video = shaped_at(F.coalesce(wrapped, F.col("record")), "$", _VIDEO)
+    unwrapped = items.select(*carried, "keyword", video.alias("video"))
+    first = F.col("video.stats")
+    counted = unwrapped.select(
         *carried,
-        F.col("keyword").alias("category"),
-        "record",
-        F.when(truthy(first), first).otherwise(second).alias("counts"),
+        "keyword",
+        "video",
+        shaped_at(
+            F.when(truthy(first), first).otherwise(F.col("video.statsV2")), "$", _COUNTS
+        ).alias("counts"),
     )
 
     def count(name: str) -> Column:
-        return numbers.whole(text_at(F.col("counts"), f"$.{name}"))
+        return F.coalesce(F.col(f"counts.{name}"), F.lit(0).cast("bigint"))
 
-    # An unreadable time counts as none.
-    created = numbers.whole(truthy_text_at(record, "$.createTime"))
-    caption = F.coalesce(text_at(record, "$.desc"), F.lit(""))
-    return prepared.select(
+    caption = F.coalesce(F.col("video.desc"), F.lit(""))
+    return counted.select(
         *carried,
-        F.coalesce(
-            truthy_text_at(record, "$.id"), truthy_text_at(record, "$.video.id")
-        ).alias("id"),
-        text_at(record, "$.author.uniqueId").alias("author_username"),
-        text_at(record, "$.author.nickname").alias("author_nickname"),
-        times.local_text(created, settings.LOCAL_ZONE).alias("create_time"),
+        F.coalesce(filled(F.col("video.id")), filled(F.col("video.video.id"))).alias("id"),
+        F.col("video.author.uniqueId").alias("author_username"),
+        F.col("video.author.nickname").alias("author_nickname"),
+        times.local_text(F.col("video.createTime"), settings.LOCAL_ZONE).alias("create_time"),
         count("diggCount").alias("likes"),
         count("shareCount").alias("shares"),
         count("commentCount").alias("comments"),
         count("playCount").alias("views"),
         count("collectCount").alias("saved"),
         F.substring(caption, 1, settings.CAPTION_CHARS).alias("caption"),
-        "category",
+        F.col("keyword").alias("category"),
     ).where(F.col("id").isNotNull())
 
 

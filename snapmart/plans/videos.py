@@ -6,12 +6,22 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from snapmart import settings
-from snapmart.functions import numbers, texts, times
-from snapmart.functions.variants import decode_tolerant, text_at, truthy_text_at
+from snapmart.functions import texts, times
+from snapmart.functions.variants import filled
 from snapmart.operators import filters
 from snapmart.operators.merge import MergePolicy
 from snapmart.operators.ranking import top
-from snapmart.sources.responses import explode_records, video_items
+from snapmart.sources.responses import explode_records
+
+# FIXED VALUES: the parts of a search hit and of a detail record that are read.
+ITEMS_PATH = "$.items"
+HIT_SHAPE = "struct<id: struct<videoId: string>, snippet: struct<channelTitle: string>>"
+DETAIL_SHAPE = """
+    struct<
+      id: string,
+      snippet: struct<title: string, channelId: string, channelTitle: string,
+                      publishedAt: string, tags: array<string>>,
+      statistics: struct<viewCount: bigint, likeCount: bigint, commentCount: bigint>>"""
 
 POLICY = MergePolicy(
     key="video_id",
@@ -31,33 +41,32 @@ POLICY = MergePolicy(
 
 def search_hits(responses: DataFrame, excluded=settings.EXCLUDED_CHANNELS) -> DataFrame:
     """Video ids of search responses, without excluded channels."""
-    items = explode_records(responses, video_items(decode_tolerant(F.col("body"))))
+    items = explode_records(responses, HIT_SHAPE, ITEMS_PATH)
     carried = [c for c in items.columns if c != "record"]
     hits = items.select(
         *carried,
-        truthy_text_at(F.col("record"), "$.id.videoId").alias("video_id"),
-        text_at(F.col("record"), "$.snippet.channelTitle").alias("channel_title"),
+        filled(F.col("record.id.videoId")).alias("video_id"),
+        F.col("record.snippet.channelTitle").alias("channel_title"),
     ).where(F.col("video_id").isNotNull())
     return filters.exclude_channels(hits, "channel_title", excluded)
 
 
 def flatten(responses: DataFrame, excluded=settings.EXCLUDED_CHANNELS) -> DataFrame:
     """Video records of detail responses; ``problem`` marks incomplete ones."""
-    items = explode_records(responses, video_items(decode_tolerant(F.col("body"))))
+    items = explode_records(responses, DETAIL_SHAPE, ITEMS_PATH)
     carried = [c for c in items.columns if c != "record"]
-    record = F.col("record")
-    tags = F.try_variant_get(record, "$.snippet.tags", "array<string>")
+    snippet, counts = F.col("record.snippet"), F.col("record.statistics")
     shaped = items.select(
         *carried,
-        truthy_text_at(record, "$.id").alias("video_id"),
-        text_at(record, "$.snippet.title").alias("title"),
-        F.coalesce(text_at(record, "$.snippet.channelId"), F.lit("")).alias("channel_id"),
-        F.coalesce(text_at(record, "$.snippet.channelTitle"), F.lit("")).alias("channel_title"),
-        times.iso_day(text_at(record, "$.snippet.publishedAt")).alias("published_at"),
-        numbers.whole(text_at(record, "$.statistics.viewCount")).alias("views"),
-        numbers.whole(text_at(record, "$.statistics.likeCount")).alias("likes"),
-        numbers.whole(text_at(record, "$.statistics.commentCount")).alias("comments"),
-        F.coalesce(F.array_join(tags, ", "), F.lit("")).alias("tags"),
+        filled(F.col("record.id")).alias("video_id"),
+        snippet["title"].alias("title"),
+        F.coalesce(snippet["channelId"], F.lit("")).alias("channel_id"),
+        F.coalesce(snippet["channelTitle"], F.lit("")).alias("channel_title"),
+        times.iso_day(snippet["publishedAt"]).alias("published_at"),
+        F.coalesce(counts["viewCount"], F.lit(0)).alias("views"),
+        F.coalesce(counts["likeCount"], F.lit(0)).alias("likes"),
+        F.coalesce(counts["commentCount"], F.lit(0)).alias("comments"),
+        F.coalesce(F.array_join(snippet["tags"], ", "), F.lit("")).alias("tags"),
     )
     kept = filters.exclude_channels(
         shaped.where(F.col("video_id").isNotNull()), "channel_title", excluded

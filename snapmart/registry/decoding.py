@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from snapmart import settings
 from snapmart.functions.variants import decode_tolerant, long_at, text_at
+from snapmart.plans import posts, products, shorts, videos
 from snapmart.registry import bodies, registered, views
 from snapmart.registry.views import EVENT_NUMBER_SQL
 from snapmart.sources import responses
@@ -95,33 +96,30 @@ SELECT 'post' AS kind, event_id AS seq, CAST(1 AS BIGINT) AS pos, CAST(event_id
 FROM events
 UNION ALL SELECT 'hit', event_id, 0, 'u' || user_id FROM events
 UNION ALL SELECT 'hit', event_id, 1, CAST(event_id AS VARCHAR) FROM events
-UNION ALL SELECT 'short', event_id, 0, CAST(event_id AS VARCHAR) FROM events
+UNION ALL SELECT 'short', event_id, 1, CAST(event_id AS VARCHAR) FROM events
 UNION ALL SELECT 'product', event_id, 0, CAST(event_id AS VARCHAR) FROM events""",
 )
 def explode_envelopes(spark, sf_dir):
-    from snapmart.plans import posts, videos
-
-    doc = decode_tolerant(F.col("body"))
-    record = F.col("record")
-
     def listed(kind, exploded, identity):
         return exploded.select(
             F.lit(kind).alias("kind"), "seq", F.col("pos").cast("bigint"), identity.alias("id")
         ).where(F.col("id").isNotNull())
 
-    def cut(frame, items):
-        return responses.explode_records(frame, items)
+    def cut(frame, *places):
+        return responses.explode_records(frame, "variant", *places)
 
-    post = cut(bodies.post_responses(spark, sf_dir), responses.post_edges(doc))
-    short = cut(bodies.short_responses(spark, sf_dir), responses.short_items(doc))
-    product = cut(bodies.product_responses(spark, sf_dir), responses.product_items(doc))
+    record = F.col("record")
+    story = "$.rendering_strategy.view_model.click_model.story.id"
+    post = cut(bodies.post_responses(spark, sf_dir), *posts.RESULT_PATHS)
+    short = cut(bodies.short_responses(spark, sf_dir), shorts.DATA_PATH)
+    product = cut(bodies.product_responses(spark, sf_dir), products.ITEMS_PATH)
     hits = videos.search_hits(bodies.video_searches(spark, sf_dir))
-    short_id = F.coalesce(text_at(record, "$.id"), text_at(record, "$.video.id"))
+    short_places = ("$.item.id", "$.item.video.id", "$.id", "$.video.id")
     return (
-        listed("post", post, text_at(record, f"{posts.STORY}.id"))
+        listed("post", post, text_at(record, story))
         .unionByName(listed("hit", hits, F.col("video_id")))
-        .unionByName(listed("short", short, short_id))
-        .unionByName(listed("product", product, text_at(record, "$.itemid")))
+        .unionByName(listed("short", short, F.coalesce(*(text_at(record, p) for p in short_places))))
+        .unionByName(listed("product", product, text_at(record, "$.item_basic.itemid")))
     )
 
 

@@ -11,6 +11,7 @@ from snapmart.operators.merge import reduce_batch
 from snapmart.plans import posts, products, shorts, videos
 from snapmart.registry import bodies, registered
 from snapmart.registry.views import EVENT_NUMBER_SQL
+from snapmart.workspace import new_folder
 
 _EVENTS_SQL = f"""
 e AS (
@@ -168,8 +169,14 @@ FROM m WHERE created_at >= TIMESTAMP '2024-01-31 00:00:00' - INTERVAL 168 HOUR
 ORDER BY total_engagement DESC, post_id LIMIT 20""",
 )
 def posts_job(spark, sf_dir):
-    """Bodies to records to master and snapshots to the trending list."""
-    records = posts.flatten(bodies.post_responses(spark, sf_dir)).where(F.col("problem").isNull())
+    """Bodies to records to master and snapshots to the trending list.
+
+    The records feed both tables, so they are written once and read twice.
+    """
+    silver = new_folder(spark, "post-records")
+    good = posts.flatten(bodies.post_responses(spark, sf_dir)).where(F.col("problem").isNull())
+    good.write.parquet(silver)
+    records = spark.read.parquet(silver)
     as_of = F.lit("2024-01-31 00:00:00").cast("timestamp")
     master = reduce_batch(posts.to_master_rows(records, as_of), posts.POLICY, ["seq", "pos"])
     snapshots = posts.to_metrics_rows(records, as_of)

@@ -14,10 +14,12 @@ from snapmart import settings
 from snapmart.functions.variants import (
     decode_json,
     decode_tolerant,
-    is_object,
-    list_at,
+    framed_tolerant,
+    has_value,
+    in_frame,
+    is_single,
     node_at,
-    truthy,
+    shaped_at,
     without_guard,
 )
 
@@ -80,67 +82,34 @@ def route_by_url(responses: DataFrame, part: str) -> DataFrame:
     return responses.where(F.contains("url", F.lit(part)))
 
 
-def has_value(node: Column) -> Column:
-    """Present and not a JSON null."""
-    return node.isNotNull() & ~F.is_variant_null(node)
-
-
 def undecodable(responses: DataFrame) -> DataFrame:
-    """Dead letters: responses no decoding attempt can read, start of the body only."""
-    return responses.where(decode_tolerant(F.col("body")).isNull()).withColumn(
-        "body", F.substring("body", 1, settings.QUARANTINE_CHARS)
-    )
-
-
-def post_edges(doc: Column) -> Column:
-    """Result list of a post search; the second place counts when the first is empty."""
-    first = list_at(doc, "$.data.serpResponse.results.edges")
-    second = list_at(doc, "$.data.results.edges")
-    return F.when(F.size(first) > 0, first).otherwise(second)
-
+    """Dead letters: responses no decoding attempt can read, start of the body only.
 
-def video_items(doc: Column) -> Column:
-    """Items of a video search or video detail response."""
-    return list_at(doc, "$.items")
-
-
-def short_items(doc: Column) -> Column:
-    """Short-video elements that are objects, taken out of their ``item`` wrapper."""
-    unwrapped = F.transform(
-        list_at(doc, "$.data"), lambda e: F.coalesce(node_at(e, "$.item"), e)
+    A bare JSON null counts as unreadable.
+    """
+    body = F.col("body")
+    bare_null = F.trim(without_guard(body)) == "null"
+    return responses.where(decode_tolerant(body).isNull() | bare_null).withColumn(
+        "body", F.substring("body", 1, settings.QUARANTINE_CHARS)
     )
-    return F.filter(unwrapped, is_object)
 
 
-def product_items(doc: Column) -> Column:
-    """``item_basic`` of each product element."""
-    basics = F.transform(list_at(doc, "$.items"), lambda e: node_at(e, "$.item_basic"))
-    return F.filter(basics, truthy)
-
-
-def explode_records(responses: DataFrame, items: Column) -> DataFrame:
+def explode_records(responses: DataFrame, shape: str, *paths: str) -> DataFrame:
     """One row per record: the response columns, ``pos`` in the list and ``record``.
 
-    ``items`` is computed from ``body``; responses without records vanish.
+    ``shape`` is the type of a record; the list is taken from the first path
+    where it is not empty.  Responses without records vanish.  The body is
+    decoded once, in a projection of its own below the generator, and a record
+    is one typed value from there on.
     """
-    kept = [F.col(c) for c in responses.columns if c != "body"]
-    return responses.select(*kept, F.posexplode(items).alias("pos", "record"))
-
-
-__all__ = [
-    "SCHEMA",
-    "decode_json",
-    "decode_tolerant",
-    "explode_records",
-    "has_value",
-    "post_edges",
-    "product_items",
-    "read_response_log",
-    "read_responses",
-    "route_by_url",
-    "route_posts",
-    "short_items",
-    "undecodable",
-    "video_items",
-    "without_guard",
-]
+    kept = [c for c in responses.columns if c != "body"]
+    decoded = responses.select(*kept, framed_tolerant(F.col("body")).alias("_doc"))
+    doc = F.col("_doc")
+    records = F.lit(None)
+    for path in reversed(paths):
+        filled = node_at(doc, in_frame(f"{path}[0]")).isNotNull()
+        found = shaped_at(doc, in_frame(path), f"array<{shape}>")
+        records = F.when(filled, found).otherwise(records)
+    return decoded.select(
+        *kept, F.posexplode(F.when(is_single(doc), records)).alias("pos", "record")
+    )
