@@ -14,6 +14,8 @@ from snapmart.settings import JSON_GUARDS
 
 _EMPTY_SHOWN = r"^(\{\}|\[\]|false|-?0(\.0+)?)$"
 
+_JSON_START = r"^[ \t\r\n]*[\[{\"\-0-9tfn]"
+
 # A body is parsed inside this frame.  Spark's parser stops after the first value
 # of a text; inside the frame anything behind that value makes it unreadable.
 _OPEN, _CLOSE = '[[{"v":[[', "]]}]]"
@@ -53,6 +55,17 @@ def truthy(value: Column) -> Column:
     return F.coalesce((shown != "") & (~looks_empty | is_text(value)), F.lit(False))
 
 
+def truthy_node(value: Column) -> Column:
+    """As :func:`truthy`, for values that are objects as a rule (never rendered as text)."""
+    kind = F.schema_of_variant(value)
+    return F.coalesce(
+        F.when(kind.startswith("OBJECT"), kind != "OBJECT<>")
+        .when(kind.startswith("ARRAY"), node_at(value, "$[0]").isNotNull())
+        .otherwise(truthy(value)),
+        F.lit(False),
+    )
+
+
 def truthy_text(value: Column) -> Column:
     """A variant as text, or NULL when it is empty in any sense."""
     return F.when(truthy(value), value.try_cast("string"))
@@ -92,7 +105,11 @@ def framed(body: Column) -> Column:
 
 
 def framed_tolerant(body: Column) -> Column:
-    """As is, then without a guard, then from the first ``{``, then from ``[``."""
+    """As is, then without a guard, then from the first ``{``, then from ``[``.
+
+    Attempts that cannot succeed are left out: a body with a guard or with a
+    first character that begins no JSON value is not tried as it is.
+    """
     guarded = F.lit(False)
     for guard in JSON_GUARDS:
         guarded = guarded | body.startswith(guard)
@@ -102,8 +119,9 @@ def framed_tolerant(body: Column) -> Column:
         return F.when(start > 1, framed(F.substr(body, start)))
 
     return F.coalesce(
-        framed(body),
-        F.when(guarded, framed(without_guard(body))),
+        F.when(guarded, framed(without_guard(body))).when(
+            body.rlike(_JSON_START), framed(body)
+        ),
         from_first("{"),
         from_first("["),
     )
@@ -119,13 +137,17 @@ def is_single(doc: Column) -> Column:
     return node_at(doc, _SECOND).isNull()
 
 
+def _single_value(doc: Column) -> Column:
+    # The lambda binds the framed document, so that it is parsed only once.
+    only = F.transform(F.array(doc), lambda d: F.when(is_single(d), node_at(d, _ROOT)))
+    return F.get(only, F.lit(0))
+
+
 def decode_json(body: Column) -> Column:
     """Strict decoding; NULL for anything that is not exactly one JSON value."""
-    doc = framed(body)
-    return F.when(is_single(doc), node_at(doc, _ROOT))
+    return _single_value(framed(body))
 
 
 def decode_tolerant(body: Column) -> Column:
     """Decoding with the fallbacks of :func:`framed_tolerant`; NULL when all fail."""
-    doc = framed_tolerant(body)
-    return F.when(is_single(doc), node_at(doc, _ROOT))
+    return _single_value(framed_tolerant(body))

@@ -15,6 +15,7 @@ from snapmart.functions.variants import (
     shaped_at,
     truthy,
     truthy_long,
+    truthy_node,
     truthy_text,
 )
 from snapmart.operators import filters
@@ -168,10 +169,11 @@ def _attachments() -> Column:
 
     def opened(item: Column) -> Column:
         holder = item["styles"]["attachment"]
-        return F.struct(
-            F.when(truthy(holder["media"]), filled(holder["url"])).alias("url"),
-            F.when(truthy(holder["media"]), shaped_at(holder["media"], "$", _MEDIA)).alias("media"),
+        both = F.struct(
+            filled(holder["url"]).alias("url"),
+            shaped_at(holder["media"], "$", _MEDIA).alias("media"),
         )
+        return F.when(truthy_node(holder["media"]), both)
 
     def one(item: Column) -> Column:
         media = item["media"]

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from snapmart import settings
 from snapmart.functions import times
-from snapmart.functions.variants import filled, shaped_at, truthy
+from snapmart.functions.variants import filled, shaped_at, truthy_node
 from snapmart.operators import filters
 from snapmart.operators.dedup import first_rows
 from snapmart.operators.merge import MergePolicy
@@ -57,7 +57,7 @@ def flatten(responses: DataFrame) -> DataFrame:
         "keyword",
         "video",
         shaped_at(
-            F.when(truthy(first), first).otherwise(F.col("video.statsV2")), "$", _COUNTS
+            F.when(truthy_node(first), first).otherwise(F.col("video.statsV2")), "$", _COUNTS
         ).alias("counts"),
     )
 
