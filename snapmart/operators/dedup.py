@@ -54,8 +54,12 @@ def cap_per_group(
 
 
 def not_seen(batch: DataFrame, known: DataFrame, key: str) -> DataFrame:
-    """Rows of a batch whose key is not among the known ones."""
-    return batch.join(known.select(key), key, "left_anti")
+    """Rows of a batch whose key is not among the known ones.
+
+    The known keys are made distinct first (partially in every task), and a hot
+    key of the batch is split by AQE, as an anti join may split its left side.
+    """
+    return batch.join(known.select(key).distinct(), key, "left_anti")
 
 
 def split_known(batch: DataFrame, known: DataFrame, key: str) -> DataFrame:

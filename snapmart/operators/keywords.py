@@ -37,19 +37,18 @@ def tag_with_keywords(
     Keywords are run parameters, so they travel as literals: each text is read
     once where it lies, nothing is joined and only hits are produced.
     """
-    every = F.array(
-        *(
-            F.struct(
-                F.lit(k).alias("base_keyword"),
-                F.lit(n).alias("variant_no"),
-                F.lit(t.replace("{kw}", k)).alias("phrase"),
-            )
-            for k in keywords
-            for n, t in enumerate(list(templates)[:count])
-        )
-    )
     lowered = texts.withColumn("_lowered", F.lower(text))
-    hits = F.filter(every, lambda p: F.contains(F.col("_lowered"), F.lower(p["phrase"])))
-    return lowered.select(*texts.columns, F.explode(hits).alias("_hit")).select(
+    hits = []
+    for keyword in keywords:
+        for number, template in enumerate(list(templates)[:count]):
+            phrase = F.lit(template.replace("{kw}", keyword))
+            hit = F.struct(
+                F.lit(keyword).alias("base_keyword"),
+                F.lit(number).alias("variant_no"),
+                phrase.alias("phrase"),
+            )
+            hits.append(F.when(F.contains(F.col("_lowered"), F.lower(phrase)), hit))
+    found = F.explode(F.array_compact(F.array(*hits))).alias("_hit")
+    return lowered.select(*texts.columns, found).select(
         *texts.columns, "_hit.base_keyword", "_hit.variant_no", "_hit.phrase"
     )

@@ -46,19 +46,17 @@ def flatten(responses: DataFrame) -> DataFrame:
     Elements that are no objects are skipped; an element's ``item``, if it has
     one, takes the element's place.
     """
-    items = explode_records(responses, "variant", DATA_PATH)
+
+    def opened(element: Column) -> Column:
+        wrapped = F.try_variant_get(element, "$.item", "variant")
+        return shaped_at(F.coalesce(wrapped, element), "$", _VIDEO)
+
+    items = explode_records(responses, "variant", DATA_PATH, each=opened)
     carried = [c for c in items.columns if c not in ("record", "keyword")]
-    wrapped = F.try_variant_get("record", "$.item", "variant")
-    video = shaped_at(F.coalesce(wrapped, F.col("record")), "$", _VIDEO)
-    unwrapped = items.select(*carried, "keyword", video.alias("video"))
     first = F.col("video.stats")
-    counted = unwrapped.select(
-        *carried,
-        "keyword",
-        "video",
-        shaped_at(
-            F.when(truthy_node(first), first).otherwise(F.col("video.statsV2")), "$", _COUNTS
-        ).alias("counts"),
+    counts = F.when(truthy_node(first), first).otherwise(F.col("video.statsV2"))
+    counted = items.withColumnRenamed("record", "video").select(
+        *carried, "keyword", "video", shaped_at(counts, "$", _COUNTS).alias("counts")
     )
 
     def count(name: str) -> Column:

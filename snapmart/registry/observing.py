@@ -69,7 +69,7 @@ WHERE l_shipdate >= TIMESTAMP '{SPLIT}' AND l_orderkey NOT IN (
 )
 def not_seen(spark, sf_dir):
     line = views.load(spark, sf_dir, "lineitem")
-    known = views.before(line, "l_shipdate", SPLIT).select("l_orderkey").distinct()
+    known = views.before(line, "l_shipdate", SPLIT)
     fresh = dedup.not_seen(views.since(line, "l_shipdate", SPLIT), known, "l_orderkey")
     return fresh.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_shipdate")
 

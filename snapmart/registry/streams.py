@@ -6,7 +6,9 @@ from pyspark.sql import functions as F
 
 from snapmart.functions import times
 from snapmart.operators.merge import MergePolicy
-from snapmart.registry import registered, views
+from snapmart.plans import products
+from snapmart.registry import CHECKS, bodies, registered, views
+from snapmart.registry import flattening as _flattening  # noqa: F401  (its SQL is reused)
 from snapmart.streaming import jobs
 from snapmart.workspace import new_folder
 
@@ -48,6 +50,44 @@ def stream_dedup_watermark(spark, sf_dir):
     return spark.read.parquet(path).select("user_id", "event_type")
 
 
+def _landed_bodies(spark, sf_dir):
+    """Product responses written as files, then read as a stream."""
+    path = new_folder(spark, "landed-bodies")
+    captured = bodies.product_responses(spark, sf_dir)
+    captured.write.parquet(path)
+    return jobs.read_landed(spark, path, captured.schema)
+
+
+@registered("stream_flatten", CHECKS["flatten_products"])
+def stream_flatten(spark, sf_dir):
+    """The product flattener on a stream of landed responses."""
+    path, checkpoint = new_folder(spark, "flat"), new_folder(spark, "checkpoint")
+    records = products.flatten(_landed_bodies(spark, sf_dir))
+    flat = products.to_history_rows(records, F.col("ts"))
+    jobs.append_available(flat, checkpoint, path).awaitTermination()
+    return spark.read.parquet(path)
+
+
+@registered("stream_products_job", CHECKS["products_job"])
+def stream_products_job(spark, sf_dir):
+    """Landed responses to records to history and master, per micro-batch."""
+    records = products.flatten(_landed_bodies(spark, sf_dir))
+    per_shop = records.where(F.col("problem").isNull()).withColumn("itemid", F.col("shopid"))
+    batch = products.to_master_rows(per_shop, F.col("ts"))
+    history, master = new_folder(spark, "history"), new_folder(spark, "master")
+    order = ["seq", "pos"]
+    query = jobs.start_merge(
+        batch, products.POLICY, order, history, master, new_folder(spark, "checkpoint")
+    )
+    query.awaitTermination()
+    upto = query.lastProgress["batchId"]
+    return jobs.current_master(
+        spark, products.POLICY, order, batch.schema, history, master, upto
+    ).select(
+        "itemid", "name", "sold_total", "category", "first_day_crawling", "last_day_crawling"
+    )
+
+
 STREAM_POLICY = MergePolicy(
     key="user_id",
     insert_only=("first_type", "first_seen"),

@@ -6,6 +6,8 @@ A response is one row ``(platform, keyword, seq, captured_at, url, body)``;
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -94,13 +96,21 @@ def undecodable(responses: DataFrame) -> DataFrame:
     )
 
 
-def explode_records(responses: DataFrame, shape: str, *paths: str) -> DataFrame:
+def explode_records(
+    responses: DataFrame,
+    shape: str,
+    *paths: str,
+    each: Callable[[Column], Column] | None = None,
+) -> DataFrame:
     """One row per record: the response columns, ``pos`` in the list and ``record``.
 
-    ``shape`` is the type of a record; the list is taken from the first path
-    where it is not empty.  Responses without records vanish.  The body is
-    decoded once, in a projection of its own below the generator, and a record
-    is one typed value from there on.
+    ``shape`` is the type of a list element; the list is taken from the first
+    path where it is not empty.  ``each`` turns an element into the record.
+    Responses without records vanish.
+
+    The body is decoded once, in a projection of its own below the generator,
+    and a record is one typed value above it: filters on its fields cannot pull
+    the decoding or typing in a second time.
     """
     kept = [c for c in responses.columns if c != "body"]
     decoded = responses.select(*kept, framed_tolerant(F.col("body")).alias("_doc"))
@@ -110,6 +120,7 @@ def explode_records(responses: DataFrame, shape: str, *paths: str) -> DataFrame:
         filled = node_at(doc, in_frame(f"{path}[0]")).isNotNull()
         found = shaped_at(doc, in_frame(path), f"array<{shape}>")
         records = F.when(filled, found).otherwise(records)
-    return decoded.select(
-        *kept, F.posexplode(F.when(is_single(doc), records)).alias("pos", "record")
-    )
+    records = F.when(is_single(doc), records)
+    if each is not None:
+        records = F.transform(records, each)
+    return decoded.select(*kept, F.posexplode(records).alias("pos", "record"))

@@ -6,8 +6,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from snapmart import settings
-
 DAY_COLUMN = "crawl_day"
 _VERSION = "upto="
 
@@ -40,17 +38,17 @@ def save_bucketed_master(
     )
 
 
-def _by_day(frame: DataFrame, moment: str) -> DataFrame:
-    # The rebalance hint groups a day's rows for few, large files and lets AQE
-    # split a day that is much larger than the others.
-    return frame.withColumn(DAY_COLUMN, F.col(moment).cast("date")).hint(
-        "rebalance", F.col(DAY_COLUMN)
-    )
-
+def append_history(frame: DataFrame, path: str, moment: str, regroup: bool = True) -> None:
+    """Append every observation, repeats included, partitioned by its day.
 
-def append_history(frame: DataFrame, path: str, moment: str) -> None:
-    """Append every observation, repeats included, partitioned by its day."""
-    _by_day(frame, moment).write.mode("append").partitionBy(DAY_COLUMN).parquet(path)
+    ``regroup`` brings a day's rows together for few, large files; the rebalance
+    hint lets AQE split a day that is much larger than the others.  Without it
+    nothing is shuffled and each task writes a file per day it holds.
+    """
+    dated = frame.withColumn(DAY_COLUMN, F.col(moment).cast("date"))
+    if regroup:
+        dated = dated.hint("rebalance", F.col(DAY_COLUMN))
+    dated.write.mode("append").partitionBy(DAY_COLUMN).parquet(path)
 
 
 def write_history_batch(frame: DataFrame, path: str, batch_id: int) -> None:
@@ -125,11 +123,3 @@ def has_key(frame: DataFrame, key: str) -> Column:
     if isinstance(frame.schema[key].dataType, T.StringType):
         return column.isNotNull() & (column != "")
     return column.isNotNull() & (column != 0)
-
-
-PLATFORM_TABLES = {
-    "posts": settings.POST_TABLES,
-    "videos": settings.VIDEO_TABLES,
-    "shorts": settings.SHORT_TABLES,
-    "products": settings.PRODUCT_TABLES,
-}

@@ -151,3 +151,18 @@ def test_stream_watermark_dedup(spark, shared, landed):
     jobs.append_available(distinct, f"{shared}/ck2", f"{shared}/distinct").awaitTermination()
     ids = [r.id for r in spark.read.parquet(f"{shared}/distinct").collect()]
     assert sorted(ids) == sorted(r.id for r in frame.select("id").distinct().collect())
+
+
+def test_dead_letters_are_appended(spark, shared):
+    captured = spark.createDataFrame([(1, "{bad"), (2, "{}")], "seq bigint, body string")
+    for _ in range(2):
+        tables.append_rows(responses.undecodable(captured), f"{shared}/dead")
+    assert [r.seq for r in spark.read.parquet(f"{shared}/dead").collect()] == [1, 1]
+
+
+def test_history_without_regrouping_is_the_same(spark, shared):
+    frame = spark.createDataFrame([(1, "2024-01-01 10:00:00")], "id bigint, t string").select(
+        "id", F.col("t").cast("timestamp_ntz").alias("crawl_date")
+    )
+    tables.append_history(frame, f"{shared}/plain", "crawl_date", regroup=False)
+    assert str(spark.read.parquet(f"{shared}/plain").first().crawl_day) == "2024-01-01"
