@@ -11,6 +11,8 @@ from snapmart import settings
 from snapmart.operators.dedup import first_rows
 from snapmart.operators.sizing import fits_broadcast
 
+LATEST = "latest_metrics"
+
 
 def latest_per_key(
     snapshots: DataFrame, key: str, time: str, ties: Sequence[str] = ()
@@ -20,14 +22,21 @@ def latest_per_key(
 
 
 def attach_latest(
-    entities: DataFrame, snapshots: DataFrame, key: str, time: str, ties: Sequence[str] = ()
+    entities: DataFrame,
+    snapshots: DataFrame,
+    key: str,
+    time: str,
+    ties: Sequence[str] = (),
+    into: str = LATEST,
 ) -> DataFrame:
-    """Entities with their newest snapshot; entities without one vanish.
+    """Entities with their newest snapshot as a struct; entities without one vanish.
 
     The snapshot side has one row per key when it is joined, so a key with very
     many snapshots does not skew the join.
     """
-    return entities.join(latest_per_key(snapshots, key, time, ties), key)
+    newest = latest_per_key(snapshots, key, time, ties)
+    values = [c for c in newest.columns if c != key]
+    return entities.join(newest.select(key, F.struct(*values).alias(into)), key)
 
 
 def attach_latest_selective(
@@ -36,6 +45,7 @@ def attach_latest_selective(
     key: str,
     time: str,
     ties: Sequence[str] = (),
+    into: str = LATEST,
     limit: int = settings.BROADCAST_BYTES,
 ) -> DataFrame:
     """As :func:`attach_latest`, for a filtered, usually small set of entities.
@@ -46,23 +56,24 @@ def attach_latest_selective(
     keys = entities.select(key)
     if fits_broadcast(keys, limit):
         snapshots = snapshots.join(F.broadcast(keys), key, "left_semi")
-    return attach_latest(entities, snapshots, key, time, ties)
+    return attach_latest(entities, snapshots, key, time, ties, into)
 
 
 def attach_global_latest(
-    entities: DataFrame, snapshots: DataFrame, key: str, time: str, ties: Sequence[str] = ()
+    entities: DataFrame,
+    snapshots: DataFrame,
+    key: str,
+    time: str,
+    ties: Sequence[str] = (),
+    into: str = LATEST,
 ) -> DataFrame:
     """Every entity with the one globally newest snapshot (an uncorrelated lookup).
 
     The newest row is a scalar sub-query: one partial maximum per task, no join.
     Without any snapshot the result is empty.
     """
-    columns = [c for c in snapshots.columns if c != key]
+    values = [c for c in snapshots.columns if c != key]
     newest = snapshots.agg(
-        F.max_by(F.struct(*columns), F.struct(time, *ties, key)).alias("newest")
+        F.max_by(F.struct(*values), F.struct(time, *ties, key)).alias("newest")
     ).scalar()
-    return (
-        entities.withColumn("_newest", newest)
-        .where(F.col("_newest").isNotNull())
-        .select(*entities.columns, *(F.col(f"_newest.{c}").alias(c) for c in columns))
-    )
+    return entities.withColumn(into, newest).where(F.col(into).isNotNull())

@@ -19,7 +19,7 @@ from snapmart.functions.variants import (
     truthy_text,
 )
 from snapmart.operators import filters
-from snapmart.operators.latest import attach_latest_selective
+from snapmart.operators.latest import LATEST, attach_latest_selective
 from snapmart.operators.merge import MergePolicy
 from snapmart.operators.ranking import top
 from snapmart.sources.responses import explode_records
@@ -329,15 +329,15 @@ def trending(
 ) -> DataFrame:
     """Recent posts by likes + comments + shares of their newest snapshot.
 
-    ``ties`` orders snapshots of one post taken at the same time.
+    ``ties`` orders snapshots of one post taken at the same time.  Output: all
+    post columns, the snapshot as ``latest_metrics`` and ``total_engagement``.
     """
     recent = filters.in_category(
         posts.where(times.since(posts, "created_at", as_of, hours)), category
     )
     latest = attach_latest_selective(recent, metrics, "post_id", "snapshot_time", ties)
-    scored = latest.withColumn(
-        "total_engagement", numbers.added(F.col("likes"), F.col("comments"), F.col("shares"))
-    )
+    parts = [F.col(f"{LATEST}.{c}") for c in ("likes", "comments", "shares")]
+    scored = latest.withColumn("total_engagement", numbers.added(*parts))
     enough = filters.at_least(scored, "total_engagement", min_engagement)
     return top(enough, "total_engagement", ["post_id"], limit)
 

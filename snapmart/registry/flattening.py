@@ -188,9 +188,8 @@ def posts_job(spark, sf_dir):
         min_engagement=5,
         ties=("seq", "pos"),
     )
-    return ranked.select(
-        "post_id", _utc("created_at"), "likes", "comments", "shares", "total_engagement"
-    )
+    counts = [f"latest_metrics.{c}" for c in ("likes", "comments", "shares")]
+    return ranked.select("post_id", _utc("created_at"), *counts, "total_engagement")
 
 
 @registered(

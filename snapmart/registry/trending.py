@@ -27,10 +27,10 @@ POST_COLUMNS = (
     "author_id",
     "created_at",
     "category",
-    "snapshot_time",
-    "likes",
-    "comments",
-    "shares",
+    "latest_metrics.snapshot_time",
+    "latest_metrics.likes",
+    "latest_metrics.comments",
+    "latest_metrics.shares",
     "total_engagement",
 )
 
@@ -184,6 +184,7 @@ def trending_products(spark, sf_dir):
 
 
 SNAPSHOT = ("snapshot_time", "likes", "comments", "shares")
+ATTACHED = tuple(f"latest_metrics.{c}" for c in SNAPSHOT)
 
 
 @registered(
@@ -207,7 +208,7 @@ FROM posts p JOIN latest m ON p.post_id = m.post_id""",
 def posts_with_latest(spark, sf_dir):
     return attach_latest(
         views.posts(spark, sf_dir), views.metrics(spark, sf_dir), "post_id", "snapshot_time", TIES
-    ).select("post_id", "author_id", "created_at", "category", *SNAPSHOT)
+    ).select("post_id", "author_id", "created_at", "category", *ATTACHED)
 
 
 @registered(
@@ -221,7 +222,7 @@ SELECT posts.*, newest.* FROM posts, newest""",
 def global_latest(spark, sf_dir):
     return attach_global_latest(
         views.posts(spark, sf_dir), views.metrics(spark, sf_dir), "post_id", "snapshot_time", TIES
-    ).select("post_id", "author_id", "created_at", "category", *SNAPSHOT)
+    ).select("post_id", "author_id", "created_at", "category", *ATTACHED)
 
 
 @registered(

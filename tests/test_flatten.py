@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import json
 
-import pytest
 from pyspark.sql import functions as F
 
 from snapmart.plans import posts, products, shorts, videos
@@ -58,32 +57,38 @@ def flat(spark, *stories):
     return posts.flatten(bodies(spark, search(*stories))).orderBy("pos").collect()
 
 
-@pytest.mark.parametrize(
-    ("given", "expected"),
-    [
-        ({"actors": [{"id": "1", "name": "A"}]}, ("1", "A")),
-        ({"actors": [{"id": "1", "name": None}]}, ("1", None)),
-        ({"actors": [{"name": "A"}], "profile": {"id": "2", "name": "B"}}, ("2", "B")),
-        (
-            {
-                "actors": [{"name": "A"}],
-                "context": {"actor_photo": {"story": {"actors": [{"id": "3", "name": "C"}]}}},
-            },
-            ("3", "C"),
-        ),
-        ({"actors": [{"name": "A"}], "profile": {"name": None}}, (None, "A")),
-        ({"actors": [{"name": "A"}], "profile": {"name": "B"}}, (None, "B")),
-        ({}, (None, "Unknown")),
-    ],
-)
-def test_author(spark, given, expected):
-    (row,) = flat(spark, story(**given))
-    author_id, name = expected
-    assert row.owner == name
-    if author_id is None:
-        assert row.author_id.startswith("fb_user_")
-    else:
-        assert row.author_id == author_id
+AUTHORS = [
+    ({"actors": [{"id": "1", "name": "A"}]}, ("1", "A")),
+    ({"actors": [{"id": "1", "name": None}]}, ("1", None)),
+    ({"actors": [{"name": "A"}], "profile": {"id": "2", "name": "B"}}, ("2", "B")),
+    (
+        {
+            "actors": [{"name": "A"}],
+            "context": {"actor_photo": {"story": {"actors": [{"id": "3", "name": "C"}]}}},
+        },
+        ("3", "C"),
+    ),
+    ({"actors": [{"name": "A"}], "profile": {"name": None}}, ("fb_user_", "A")),
+    ({"actors": [{"name": "A"}], "profile": {"name": "B"}}, ("fb_user_", "B")),
+    (
+        {
+            "profile": {"name": "B"},
+            "context": {"actor_photo": {"story": {"actors": [{"name": "C"}]}}},
+        },
+        ("fb_user_", "C"),
+    ),
+    ({}, ("fb_user_", "Unknown")),
+]
+
+
+def test_author(spark):
+    rows = flat(spark, *(story(id=f"s{n}", **given) for n, (given, _) in enumerate(AUTHORS)))
+    assert len(rows) == len(AUTHORS)
+    for row, (_, (author_id, name)) in zip(rows, AUTHORS, strict=True):
+        assert row.owner == name
+        assert row.author_id == author_id or (
+            author_id == "fb_user_" and row.author_id.startswith("fb_user_")
+        )
 
 
 def test_reactions(spark):
@@ -117,17 +122,14 @@ def test_no_feedback_means_no_reactions(spark):
     assert (row.comment_count, row.share_count, row.view_count) == (0, 0, 0)
 
 
-@pytest.mark.parametrize(
-    "feedback",
-    [
-        {"i18n_reaction_count": "LIKE"},
-        {"share_count": {"count": "many"}},
-    ],
-)
-def test_unreadable_counts_are_marked_and_alone(spark, feedback):
-    bad, good = flat(spark, story(id="1", feedback=feedback), story(id="2"))
-    assert bad.problem == "unreadable count"
-    assert good.problem is None
+def test_unreadable_counts_are_marked_and_alone(spark):
+    rows = flat(
+        spark,
+        story(id="1", feedback={"i18n_reaction_count": "LIKE"}),
+        story(id="2", feedback={"share_count": {"count": "many"}}),
+        story(id="3"),
+    )
+    assert [r.problem for r in rows] == ["unreadable count", "unreadable count", None]
 
 
 def test_attachments_and_media_urls(spark):
