@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from snapmart.llm import fingerprints
+from snapmart.llm import fingerprints, quality_rules, secrets
 from snapmart.llm.tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -17,9 +17,20 @@ def op1_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.edited_fingerprints(table(spark, sf_dir, "documents"))
 
 
+def op2_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets of every document: fixed patterns and high-entropy windows."""
+    return secrets.secret_report(table(spark, sf_dir, "documents"))
+
+
+def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base counts and verdict of every document, against those labelled good."""
+    trusted = table(spark, sf_dir, "labels").where("quality = 1")
+    return quality_rules.judged(table(spark, sf_dir, "documents"), trusted)
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
-    for f in (op1_fingerprints,)
+    for f in (op1_fingerprints, op2_secrets, op5_quality_rules)
 }
 # DuckDB SQL for the queries that SQL can express.
 CHECKS: dict[str, str] = {}
