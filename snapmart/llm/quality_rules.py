@@ -25,7 +25,7 @@ BUCKETS = 1 << 16
 # The trusted multinomial starts from the raw one, with the weight of so many n-grams.
 PRIOR_GRAMS = BUCKETS
 # Least mean log-likelihood ratio per n-gram that a document is kept with.
-THRESHOLD = -0.3
+THRESHOLD = -0.1
 MIN_WORDS = 10
 MAX_REPEATED_PERCENT = 20
 REPEAT_WINDOW = 5

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from snapmart.llm import fingerprints, quality_rules, secrets
+from snapmart.llm import fingerprints, quality_rules, secrets, simhash
 from snapmart.llm.tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -28,9 +28,15 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judged(table(spark, sf_dir, "documents"), trusted)
 
 
+def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SimHash fingerprint and component of every document."""
+    near = simhash.near_duplicates(table(spark, sf_dir, "documents"))
+    return near.select("doc_id", simhash.hex_text("fp").alias("fingerprint"), "component_id")
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
-    for f in (op1_fingerprints, op2_secrets, op5_quality_rules)
+    for f in (op1_fingerprints, op2_secrets, op5_quality_rules, op7_simhash)
 }
 # DuckDB SQL for the queries that SQL can express.
 CHECKS: dict[str, str] = {}
