@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from snapmart.llm import fingerprints, quality_rules, secrets, simhash
+from snapmart.llm import fingerprints, quality_rules, secrets, simhash, toxicity
 from snapmart.llm.tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -22,6 +22,13 @@ def op2_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.secret_report(table(spark, sf_dir, "documents"))
 
 
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity score of every document, learned from the labels outside the held-out fold."""
+    return toxicity.toxicity_scores(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    )
+
+
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base counts and verdict of every document, against those labelled good."""
     trusted = table(spark, sf_dir, "labels").where("quality = 1")
@@ -36,7 +43,7 @@ def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     f.__name__: f
-    for f in (op1_fingerprints, op2_secrets, op5_quality_rules, op7_simhash)
+    for f in (op1_fingerprints, op2_secrets, op4_toxicity, op5_quality_rules, op7_simhash)
 }
 # DuckDB SQL for the queries that SQL can express.
 CHECKS: dict[str, str] = {}
