@@ -22,10 +22,11 @@ from snapmart.llm.texts import SPACE, constant_doubles, whole_text, words
 from snapmart.operators.sizing import fits_broadcast
 
 BUCKETS = 1 << 16
-# The trusted multinomial starts from the raw one, with the weight of so many n-grams.
-PRIOR_GRAMS = BUCKETS
+# Each trusted share starts from the raw one, as if seen so many times as often as expected.
+# Rare n-grams, which say little, stay near a ratio of 1 that way.
+PRIOR_COUNT = 10.0
 # Least mean log-likelihood ratio per n-gram that a document is kept with.
-THRESHOLD = -0.1
+THRESHOLD = -0.125
 MIN_WORDS = 10
 MAX_REPEATED_PERCENT = 20
 REPEAT_WINDOW = 5
@@ -121,9 +122,9 @@ def log_ratios(counted: DataFrame, trusted_ids: DataFrame, key: str) -> list[flo
     ratios = [0.0] * BUCKETS
     if trusted:
         for r in rows:
-            share = r["raw"] / raw
+            expected = trusted * r["raw"] / raw
             ratios[r["bucket"]] = math.log(
-                (r["trusted"] + PRIOR_GRAMS * share) / (trusted + PRIOR_GRAMS) / share
+                (r["trusted"] + PRIOR_COUNT) / (expected + PRIOR_COUNT)
             )
     return ratios
 

@@ -5,8 +5,18 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-
-from snapmart.llm import fingerprints, quality_rules, secrets, simhash, toxicity
+from pyspark.sql import functions as F
+
+from snapmart.llm import (
+    fingerprints,
+    importance,
+    line_dedup,
+    mixing,
+    quality_rules,
+    secrets,
+    simhash,
+    toxicity,
+)
 from snapmart.llm.tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -35,15 +45,57 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judged(table(spark, sf_dir, "documents"), trusted)
 
 
+def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the runs of lines that repeat earlier ones."""
+    cleaned = line_dedup.dedup_lines(table(spark, sf_dir, "documents"))
+    return cleaned.select(
+        "doc_id",
+        "text",
+        F.size(F.split(F.coalesce("text", F.lit("")), "\n")).cast("bigint").alias("n_lines"),
+    )
+
+
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SimHash fingerprint and component of every document."""
     near = simhash.near_duplicates(table(spark, sf_dir, "documents"))
     return near.select("doc_id", simhash.hex_text("fp").alias("fingerprint"), "component_id")
 
 
+def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Importance weight, Gumbel key and verdict of every document.
+
+    As many documents are kept as the labels say are good.
+    """
+    labels = table(spark, sf_dir, "labels")
+    return importance.resample(
+        table(spark, sf_dir, "documents"),
+        labels.where("quality = 1"),
+        importance.good_share(labels),
+    )
+
+
+def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every pass of every document in a mixture that repeats no source more than twice.
+
+    The budget is the smallest that loses no document.
+    """
+    return mixing.mixed(table(spark, sf_dir, "documents")).select(
+        "doc_id", "source", "mix_weight", "mix_epoch", "mix_block", "mix_order"
+    )
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
-    for f in (op1_fingerprints, op2_secrets, op4_toxicity, op5_quality_rules, op7_simhash)
+    for f in (
+        op1_fingerprints,
+        op2_secrets,
+        op4_toxicity,
+        op5_quality_rules,
+        op6_line_dedup,
+        op7_simhash,
+        op8_quality_classifier,
+        op10_mixing,
+    )
 }
-# DuckDB SQL for the queries that SQL can express.
+# The SQL of these has no twin for hashes, models or folds: see tests/llm for brute force.
 CHECKS: dict[str, str] = {}

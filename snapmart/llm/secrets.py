@@ -211,19 +211,19 @@ def find_secrets(
         )
     )
     found = docs.select(
-        *carried, body.alias("_body"), base.alias("base"), located(body, CANDIDATE, 3).alias("_runs")
+        *carried, body.alias("_secret_body"), base.alias("base"), located(body, CANDIDATE, 3).alias("_secret_runs")
     )
     added = F.filter(
-        entropy_spans(found, "_body", "_runs", allow_list),
+        entropy_spans(found, "_secret_body", "_secret_runs", allow_list),
         lambda s: ~F.exists(
             "base", lambda b: (b["start"] <= s["start"]) & (s["end"] <= b["end"])
         ),
     )
     scanned = found.withColumn(
-        "_added", F.when(F.size("_runs") > 0, added).otherwise(F.array().cast(_SPANS))
+        "_secret_added", F.when(F.size("_secret_runs") > 0, added).otherwise(F.array().cast(_SPANS))
     )
     return scanned.select(
-        *carried, "base", F.sort_array(F.concat("base", "_added")).alias("spans")
+        *carried, "base", F.sort_array(F.concat("base", "_secret_added")).alias("spans")
     )
 
 

@@ -198,12 +198,12 @@ def keep_one(docs: DataFrame, spark_key: str = "doc_id") -> DataFrame:
     Repeated rows with the same id count as copies: one of them stays.  Among
     documents without an id one stays only if no other document is near.
     """
-    row = "_row"
+    row = "_simhash_row"
     numbered = saved(docs.withColumn(row, F.monotonically_increasing_id()), "simhash-rows")
     near = near_duplicates(numbered, row, "text")
-    ids = numbered.select(row, F.col(spark_key).alias("_key"))
+    ids = numbered.select(row, F.col(spark_key).alias("_simhash_key"))
     # Smallest id first, nulls last; equal ids by row.
-    place = F.struct(F.col("_key").isNull().alias("none"), F.col("_key"), F.col(row).alias("at"))
+    place = F.struct(F.col("_simhash_key").isNull().alias("none"), F.col("_simhash_key"), F.col(row).alias("at"))
     stays = (
         near.join(ids, row)
         .groupBy("component_id")

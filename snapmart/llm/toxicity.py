@@ -28,6 +28,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from snapmart.llm.texts import remainder
 
@@ -382,14 +383,16 @@ def labelled_sample(
     return [r["text"].encode() for r in rows], [int(r["toxic"] > 0) for r in rows]
 
 
-def with_scores(docs: DataFrame, params: Params | None, keys: list[str]) -> DataFrame:
-    """The key columns and ``score`` (0 to 1) of every row; 0 when there is no model.
+def with_scores(
+    docs: DataFrame, params: Params | None, keys: list[str], out: str = "score"
+) -> DataFrame:
+    """The key columns and ``out`` (0 to 1) for every row; 0 when there is no model.
 
     Null, empty and blank texts are one window without words and get the score
     of the network's last bias alone.
     """
     if params is None:
-        return docs.select(*keys, F.lit(0.0).alias("score"))
+        return docs.select(*keys, F.lit(0.0).alias(out))
     shared = docs.sparkSession.sparkContext.broadcast(params)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -398,11 +401,11 @@ def with_scores(docs: DataFrame, params: Params | None, keys: list[str]) -> Data
             texts = batch.column(0).cast(pa.binary())
             scores = scorer.scores(t.as_py() for t in texts)
             columns = [*batch.columns[1:], pa.array(scores.astype(np.float64))]
-            yield pa.RecordBatch.from_arrays(columns, [*batch.schema.names[1:], "score"])
+            yield pa.RecordBatch.from_arrays(columns, [*batch.schema.names[1:], out])
 
-    kinds = [f"{k} {docs.schema[k].dataType.simpleString()}" for k in keys]
-    named = docs.select(F.col("text").alias("_text"), *keys)
-    return named.mapInArrow(run, ", ".join([*kinds, "score double"]))
+    fields = [docs.schema[k] for k in keys]
+    named = docs.select(F.col("text").alias("_toxic_text"), *keys)
+    return named.mapInArrow(run, T.StructType([*fields, T.StructField(out, T.DoubleType())]))
 
 
 def toxicity_scores(docs: DataFrame, labels: DataFrame) -> DataFrame:
@@ -428,5 +431,5 @@ def keep_civil(docs: DataFrame, labels: DataFrame, reject_at: float = REJECT_AT)
     if params is None:
         return docs
     # The text travels through the scoring tasks, so no join is needed.
-    scored = with_scores(docs, params, docs.columns)
-    return scored.where(F.col("score") < reject_at).select(*docs.columns)
+    scored = with_scores(docs, params, docs.columns, "_toxic_score")
+    return scored.where(F.col("_toxic_score") < reject_at).select(*docs.columns)
