@@ -12,6 +12,7 @@ from snapmart.llm import (
     importance,
     line_dedup,
     mixing,
+    pieces,
     quality_rules,
     secrets,
     simhash,
@@ -74,6 +75,19 @@ def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of every document, and the digest of what they decode to."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    both = pieces.decoded(pieces.encoded(docs))
+    return both.select(
+        "doc_id",
+        F.size("ids").alias("n_ids"),
+        "ids",
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+        F.col("decoded").eqNullSafe(F.col("text")).alias("round_trip"),
+    )
+
+
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every pass of every document in a mixture that repeats no source more than twice.
 
@@ -94,6 +108,7 @@ QUERIES: dict[str, Query] = {
         op6_line_dedup,
         op7_simhash,
         op8_quality_classifier,
+        op9_pieces,
         op10_mixing,
     )
 }
