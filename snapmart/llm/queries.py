@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from snapmart.llm import (
     fingerprints,
+    hidden_markov,
     importance,
     line_dedup,
     mixing,
@@ -33,6 +34,11 @@ def op2_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.secret_report(table(spark, sf_dir, "documents"))
 
 
+def op3_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base score and hidden Markov score of every document."""
+    return hidden_markov.scores(table(spark, sf_dir, "documents"))
+
+
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity score of every document, learned from the labels outside the held-out fold."""
     return toxicity.toxicity_scores(
@@ -103,6 +109,7 @@ QUERIES: dict[str, Query] = {
     for f in (
         op1_fingerprints,
         op2_secrets,
+        op3_lm_scores,
         op4_toxicity,
         op5_quality_rules,
         op6_line_dedup,
