@@ -1,8 +1,8 @@
 """Scoring texts with a hidden Markov language model.
 
 Tokens are words in lower case, then one end.  Tokens that hold at least
-1 / ``FREQUENT`` of all training tokens are symbols of their own, at most
-``FREQUENT`` of them whatever the corpus; all rarer ones are grouped by their
+1 / ``FREQUENT`` of all training tokens (and ``LEAST``) are symbols of their own,
+at most ``FREQUENT`` of them whatever the corpus; all rarer ones are grouped by their
 last letters into ``RARE_CLASSES`` symbols.  The hidden states emit symbols, and
 a rare token has a share of its symbol given by its count in the corpus, so
 
@@ -40,7 +40,8 @@ STATES = 8
 ROUNDS = 4
 STAY = 0.9  # chance to stay in a state that training starts from
 BLOCK = 64  # tokens of a training sequence
-PRIOR = 50.0  # tokens' worth of the corpus distribution in each state's emissions
+PRIOR = 0.1  # weight of the corpus distribution, by the tokens of a state
+LEAST = 10  # tokens that a symbol of its own needs in any corpus
 END = b" "  # no word has a blank
 _BATCH_BLOCKS = 4096
 _HELD_WORDS = 200_000
@@ -106,7 +107,7 @@ class Lexicon:
         whole = counts.agg(
             F.coalesce(F.sum("c"), F.lit(0)).alias("n"), F.count(F.lit(1)).alias("v")
         ).first()
-        often = F.col("c") * FREQUENT >= whole["n"]
+        often = (F.col("c") * FREQUENT >= whole["n"]) & (F.col("c") >= LEAST)
         often = often | (F.col("token") == F.lit(bytearray(END)))
         frequent = counts.where(often).select("token", "c").collect()
         frequent = {bytes(r["token"]): r["c"] for r in frequent}
@@ -152,9 +153,9 @@ class Model:
     @classmethod
     def fit(cls, counted: dict[str, np.ndarray], shares: np.ndarray) -> Model:
         """Parameters from expected counts, smoothed so that nothing is impossible."""
-        emitted = counted["emit"] + PRIOR * shares[:, None]
         moved = counted["move"] + 1.0
         start, used = counted["start"] + 1.0, counted["emit"].sum(axis=0) + 1.0
+        emitted = counted["emit"] + PRIOR * used * shares[:, None]
         return cls(
             start / start.sum(),
             used / used.sum(),
