@@ -63,5 +63,6 @@ def category_of(
 
 
 def surrogate_number(name: Column, modulus: int) -> Column:
-    """A stable number for a name (no per-process salt)."""
-    return F.pmod(F.xxhash64(name), F.lit(modulus))
+    """A stable number for a name: the first 60 bits of its MD5, modulo."""
+    digits = F.substring(F.md5(name), 1, 15)
+    return F.pmod(F.conv(digits, 16, 10).cast("bigint"), F.lit(modulus))

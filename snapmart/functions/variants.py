@@ -77,6 +77,11 @@ def truthy_long(value: Column) -> Column:
     return F.coalesce(value.try_cast("bigint"), F.when(empty, F.lit(0)))
 
 
+def count_or_zero(value: Column) -> Column:
+    """0 when missing, the number for numbers and numeric text, else NULL (explicit null too)."""
+    return F.when(value.isNull(), F.lit(0).cast("bigint")).otherwise(value.try_cast("bigint"))
+
+
 def filled(text: Column) -> Column:
     """Text, or NULL when it is empty."""
     return F.nullif(text, F.lit(""))

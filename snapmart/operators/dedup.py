@@ -9,20 +9,32 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from snapmart import settings
 
+_TRIM_SETTING = "spark.sql.optimizer.windowGroupLimitThreshold"
+
+
+def _allow_trimming(spark: SparkSession, count: int) -> None:
+    # Spark trims ranked windows before the shuffle only up to this session setting.
+    if int(spark.conf.get(_TRIM_SETTING)) < count:
+        spark.conf.set(_TRIM_SETTING, str(count))
+
 
 def first_rows(
     frame: DataFrame, groups: Sequence[str], order: Sequence[str | Column], count: int
 ) -> DataFrame:
     """The first ``count`` rows of each group in the given (total) order.
 
-    Spark trims map-side only up to a limit; above it the group is first cut
-    inside salted sub-groups, which keeps every row that can be among the first.
+    A group is first cut inside sub-groups salted by the order columns, then as
+    a whole; a row among the first of its group is among the first of its
+    sub-group.  Both cuts are trimmed in the tasks before they shuffle, so of a
+    hot group the last task gets ``SALT_BUCKETS * count`` rows at most.  The
+    session's limit for that trimming is raised to ``count`` where it is lower.
     """
+    _allow_trimming(frame.sparkSession, count)
     place = "_place"
     ordering = [F.col(o) if isinstance(o, str) else o for o in order]
 
@@ -30,8 +42,9 @@ def first_rows(
         ranked = F.row_number().over(Window.partitionBy(*keys).orderBy(*ordering))
         return rows.withColumn(place, ranked).where(F.col(place) <= count).drop(place)
 
-    if count > settings.WINDOW_TRIM_ROWS:
-        salt = F.pmod(F.xxhash64(*frame.columns), F.lit(settings.SALT_BUCKETS))
+    if count > 1:
+        named = [o for o in order if isinstance(o, str)] or list(groups)
+        salt = F.pmod(F.xxhash64(*named), F.lit(settings.SALT_BUCKETS))
         frame = cut(frame.withColumn("_salt", salt), [*groups, "_salt"]).drop("_salt")
     return cut(frame, list(groups))
 

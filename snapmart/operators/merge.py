@@ -22,6 +22,7 @@ from snapmart import settings
 from snapmart.functions.texts import is_blank
 from snapmart.operators.filters import drop_without_key
 from snapmart.operators.sizing import fits_broadcast
+from snapmart.sources.tables import has_key
 
 STATUS = "merge_status"
 INSERTED, CHANGED, MATCHED, UNTOUCHED = "inserted", "changed", "matched", "untouched"
@@ -127,11 +128,20 @@ def merge_small_batch(
     )
 
 
-def merge_counters(merged: DataFrame, batch: DataFrame, policy: MergePolicy) -> DataFrame:
-    """One row: inserted, updated (values changed), matched (key found), history_inserted."""
+def merge_counters(
+    merged: DataFrame, batch: DataFrame, policy: MergePolicy, bad: DataFrame | None = None
+) -> DataFrame:
+    """One row: inserted, updated (values changed), matched (key found), history_inserted, errors.
+
+    Errors are the batch's rows without a key and the rows of ``bad``, the
+    records that could not be read.
+    """
+    keyed = F.coalesce(has_key(batch, policy.key), F.lit(False))
     marks = merged.select(STATUS).unionByName(
-        drop_without_key(batch, policy.key).select(F.lit("history").alias(STATUS))
+        batch.select(F.when(keyed, "history").otherwise("error").alias(STATUS))
     )
+    if bad is not None:
+        marks = marks.unionByName(bad.select(F.lit("error").alias(STATUS)))
 
     def times(*wanted: str) -> Column:
         return F.count_if(F.col(STATUS).isin(*wanted))
@@ -141,5 +151,5 @@ def merge_counters(merged: DataFrame, batch: DataFrame, policy: MergePolicy) ->
         times(CHANGED).alias("updated"),
         times(CHANGED, MATCHED).alias("matched"),
         times("history").alias("history_inserted"),
-        F.lit(0).cast("bigint").alias("errors"),
+        times("error").alias("errors"),
     )

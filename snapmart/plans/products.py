@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from snapmart import settings
 from snapmart.functions import numbers, texts, times
-from snapmart.functions.variants import has_value
+from snapmart.functions.variants import count_or_zero
 from snapmart.operators import filters
 from snapmart.operators.merge import MergePolicy
 from snapmart.operators.ranking import top
@@ -19,7 +19,7 @@ ITEM_SHAPE = """
     struct<item_basic: struct<
       itemid: bigint, shopid: bigint, name: string,
       price: variant, price_min: variant, price_before_discount: variant,
-      sold: bigint, historical_sold: bigint,
+      sold: variant, historical_sold: variant,
       item_rating: struct<rating_star: variant, rating_count: array<bigint>>,
       flash_sale: boolean, ctime: variant>>"""
 
@@ -46,14 +46,17 @@ POLICY = MergePolicy(
 
 
 def flatten(responses: DataFrame, zone: str = "UTC") -> DataFrame:
-    """Product records; ``problem`` marks those with an unreadable price or rating."""
+    """Product records; ``problem`` marks those with an unreadable price, rating or count.
+
+    Defaults stand for missing keys only: an explicit null cannot be read.
+    """
     items = explode_records(responses, ITEM_SHAPE, ITEMS_PATH)
     carried = [c for c in items.columns if c not in ("record", "keyword")]
     item = F.col("record.item_basic")
     zero = F.lit(0).cast("bigint")
 
     def amount(value: Column, missing: Column) -> Column:
-        return F.when(has_value(value), value.try_cast("double")).otherwise(missing)
+        return F.when(value.isNull(), missing).otherwise(value.try_cast("double"))
 
     units = amount(item["price"], amount(item["price_min"], F.lit(0.0)))
     created = item["ctime"]
@@ -66,8 +69,8 @@ def flatten(responses: DataFrame, zone: str = "UTC") -> DataFrame:
         numbers.from_price_units(amount(item["price_before_discount"], units)).alias(
             "price_before_discount"
         ),
-        F.coalesce(item["sold"], zero).alias("sold_recent"),
-        F.coalesce(item["historical_sold"], zero).alias("sold_total"),
+        count_or_zero(item["sold"]).alias("sold_recent"),
+        count_or_zero(item["historical_sold"]).alias("sold_total"),
         numbers.two_places(amount(item["item_rating"]["rating_star"], F.lit(0.0))).alias(
             "rating_star"
         ),
@@ -87,10 +90,13 @@ def flatten(responses: DataFrame, zone: str = "UTC") -> DataFrame:
         | F.col("price_before_discount").isNull()
         | F.col("rating_star").isNull()
     )
+    uncounted = F.col("sold_recent").isNull() | F.col("sold_total").isNull()
     return kept.withColumns(
         {
             "discount": numbers.discount_text(F.col("price_before_discount"), F.col("price")),
-            "problem": F.when(unreadable, "unreadable price or rating"),
+            "problem": F.when(unreadable, "unreadable price or rating").when(
+                uncounted, "unreadable count"
+            ),
         }
     ).select(*carried, "itemid", *FIELDS, "problem")
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from snapmart import settings
 from snapmart.functions import times
-from snapmart.functions.variants import filled, shaped_at, truthy_node
+from snapmart.functions.variants import count_or_zero, filled, shaped_at, truthy_node
 from snapmart.operators import filters
 from snapmart.operators.dedup import first_rows
 from snapmart.operators.merge import MergePolicy
@@ -19,13 +19,15 @@ from snapmart.sources.responses import explode_records
 # FIXED VALUES: the parts of a search element that are read.
 DATA_PATH = "$.data"
 _COUNTS = """
-    struct<diggCount: bigint, shareCount: bigint, commentCount: bigint,
-           playCount: bigint, collectCount: bigint>"""
+    struct<diggCount: variant, shareCount: variant, commentCount: variant,
+           playCount: variant, collectCount: variant>"""
 _VIDEO = """
     struct<id: string, video: struct<id: string>, desc: string, createTime: bigint,
            author: struct<uniqueId: string, nickname: string>,
            stats: variant, statsV2: variant>"""
 
+COUNTS = ("likes", "shares", "comments", "views", "saved")
+
 POLICY = MergePolicy(
     key="id",
     insert_only=(
@@ -41,7 +43,9 @@ POLICY = MergePolicy(
 
 
 def flatten(responses: DataFrame) -> DataFrame:
-    """Short-video records; the category is the keyword of the request.
+    """Short-video records; ``problem`` marks those with an unreadable count.
+
+    The category is the keyword of the request.
 
     Elements that are no objects are skipped; an element's ``item``, if it has
     one, takes the element's place.
@@ -60,10 +64,10 @@ def flatten(responses: DataFrame) -> DataFrame:
     )
 
     def count(name: str) -> Column:
-        return F.coalesce(F.col(f"counts.{name}"), F.lit(0).cast("bigint"))
+        return count_or_zero(F.col(f"counts.{name}"))
 
     caption = F.coalesce(F.col("video.desc"), F.lit(""))
-    return counted.select(
+    shaped = counted.select(
         *carried,
         F.coalesce(filled(F.col("video.id")), filled(F.col("video.video.id"))).alias("id"),
         F.col("video.author.uniqueId").alias("author_username"),
@@ -77,6 +81,10 @@ def flatten(responses: DataFrame) -> DataFrame:
         F.substring(caption, 1, settings.CAPTION_CHARS).alias("caption"),
         F.col("keyword").alias("category"),
     ).where(F.col("id").isNotNull())
+    unreadable = F.lit(False)
+    for name in COUNTS:
+        unreadable = unreadable | F.col(name).isNull()
+    return shaped.withColumn("problem", F.when(unreadable, "unreadable count"))
 
 
 def to_master_rows(records: DataFrame, crawled: Column) -> DataFrame:
@@ -96,7 +104,7 @@ def to_master_rows(records: DataFrame, crawled: Column) -> DataFrame:
 
 def to_history_rows(records: DataFrame, crawled: Column) -> DataFrame:
     """History rows: every record with its crawl time."""
-    return records.withColumn("crawl_date", crawled)
+    return records.drop("problem").withColumn("crawl_date", crawled)
 
 
 OUTPUT = (

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from snapmart import settings
 from snapmart.functions import texts, times
-from snapmart.functions.variants import filled
+from snapmart.functions.variants import count_or_zero, filled
 from snapmart.operators import filters
 from snapmart.operators.merge import MergePolicy
 from snapmart.operators.ranking import top
@@ -21,7 +21,7 @@ DETAIL_SHAPE = """
       id: string,
       snippet: struct<title: string, channelId: string, channelTitle: string,
                       publishedAt: string, tags: array<string>>,
-      statistics: struct<viewCount: bigint, likeCount: bigint, commentCount: bigint>>"""
+      statistics: struct<viewCount: variant, likeCount: variant, commentCount: variant>>"""
 
 POLICY = MergePolicy(
     key="video_id",
@@ -63,16 +63,19 @@ def flatten(responses: DataFrame, excluded=settings.EXCLUDED_CHANNELS) -> DataFr
         F.coalesce(snippet["channelId"], F.lit("")).alias("channel_id"),
         F.coalesce(snippet["channelTitle"], F.lit("")).alias("channel_title"),
         times.iso_day(snippet["publishedAt"]).alias("published_at"),
-        F.coalesce(counts["viewCount"], F.lit(0)).alias("views"),
-        F.coalesce(counts["likeCount"], F.lit(0)).alias("likes"),
-        F.coalesce(counts["commentCount"], F.lit(0)).alias("comments"),
+        count_or_zero(counts["viewCount"]).alias("views"),
+        count_or_zero(counts["likeCount"]).alias("likes"),
+        count_or_zero(counts["commentCount"]).alias("comments"),
         F.coalesce(F.array_join(snippet["tags"], ", "), F.lit("")).alias("tags"),
     )
     kept = filters.exclude_channels(
         shaped.where(F.col("video_id").isNotNull()), "channel_title", excluded
     )
     incomplete = F.col("title").isNull() | F.col("published_at").isNull()
-    return kept.withColumn("problem", F.when(incomplete, "no title or date"))
+    unreadable = F.col("views").isNull() | F.col("likes").isNull() | F.col("comments").isNull()
+    return kept.withColumn(
+        "problem", F.when(incomplete, "no title or date").when(unreadable, "unreadable count")
+    )
 
 
 def classified(

@@ -352,7 +352,12 @@ def split_tags(spark, sf_dir):
     )
 
 
-@registered("surrogate_id")
+@registered(
+    "surrogate_id",
+    """
+SELECT c_custkey, 'fb_user_' || CAST('0x' || substr(md5(c_name), 1, 15) AS BIGINT) % 1000000000 AS author_id
+FROM customer""",
+)
 def surrogate_id(spark, sf_dir):
     number = texts.surrogate_number(F.col("c_name"), settings.SURROGATE_MODULUS)
     return views.load(spark, sf_dir, "customer").select(

@@ -81,7 +81,7 @@ def decode_bodies(spark, sf_dir):
 @registered(
     "quarantine",
     """
-SELECT doc_id, left(text, 1000) AS body FROM documents WHERE lang <> 'en'""",
+SELECT doc_id, text AS body, 'unreadable' AS reason FROM documents WHERE lang <> 'en'""",
 )
 def quarantine(spark, sf_dir):
     body = F.when(F.col("lang") == "en", F.to_json(F.struct("text"))).otherwise(F.col("text"))
@@ -130,19 +130,12 @@ SELECT replace(event_type, 'up', ' up') AS keyword, event_id AS seq, props AS bo
 )
 def raw_log(spark, sf_dir):
     root = new_folder(spark, "raw-log")
-    events = views.load(spark, sf_dir, "events").select("event_id", "event_type", "props")
-    for kind, keyword in (
-        ("click", "click"),
-        ("error", "error"),
-        ("purchase", "purchase"),
-        ("signup", "sign_up"),
-        ("view", "view"),
-    ):
-        section = F.concat(
-            F.lit("=== RESPONSE "), F.col("event_id").cast("string"), F.lit(" ===\n"), "props",
-            F.lit("\n"),
-        )
-        events.where(F.col("event_type") == kind).select(section.alias("value")).write.text(
-            f"{root}/graphql_{keyword}.json"
-        )
+    section = F.concat(
+        F.lit("=== RESPONSE "), F.col("event_id").cast("string"), F.lit(" ===\n"), "props",
+        F.lit("\n"),
+    )
+    keyword = F.replace("event_type", F.lit("up"), F.lit("_up"))
+    log = F.concat(F.lit("graphql_"), keyword, F.lit(".json"))
+    events = views.load(spark, sf_dir, "events")
+    events.select(log.alias("log"), section.alias("value")).write.partitionBy("log").text(root)
     return responses.read_response_log(spark, f"{root}/*")

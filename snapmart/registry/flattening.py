@@ -7,10 +7,11 @@ from pyspark.sql import functions as F
 from snapmart.functions import times
 from snapmart.operators.dedup import keep_first
 from snapmart.operators.lookups import hits_with_details
-from snapmart.operators.merge import reduce_batch
+from snapmart.operators.merge import merge_counters, merge_master, reduce_batch
 from snapmart.plans import posts, products, shorts, videos
 from snapmart.registry import bodies, registered
 from snapmart.registry.views import EVENT_NUMBER_SQL
+from snapmart.sources import responses, tables
 from snapmart.workspace import new_folder
 
 _EVENTS_SQL = f"""
@@ -89,7 +90,7 @@ SELECT CAST(event_id AS VARCHAR) AS video_id, words AS title,
        CASE t WHEN 'view' THEN '' ELSE 'c' || user_id END AS channel_id,
        'channel ' || user_id AS channel_title, CAST(s AS DATE) AS published_at,
        event_id AS views, CAST(CASE t WHEN 'view' THEN 0 ELSE k END AS BIGINT) AS likes,
-       CAST(CASE t WHEN 'purchase' THEN 0 ELSE k END AS BIGINT) AS comments,
+       CAST(CASE t WHEN 'purchase' THEN NULL ELSE k END AS BIGINT) AS comments,
        CASE t WHEN 'click' THEN t || ', ' || k ELSE '' END AS tags, 'general' AS category
 FROM e WHERE t <> 'error'""",
 )
@@ -196,26 +197,27 @@ def posts_job(spark, sf_dir):
     "videos_job",
     f"""
 WITH {_EVENTS_SQL},
-hits AS (SELECT DISTINCT t AS query, CAST(user_id AS VARCHAR) AS video_id FROM e)
+hits AS (SELECT t AS query, CAST(user_id AS VARCHAR) AS video_id FROM e
+         UNION SELECT t, CAST(event_id AS VARCHAR) FROM e)
 SELECT h.query, e.event_id AS video_no, e.words AS title, 'channel ' || e.user_id AS channel_title,
-       CAST(CASE e.t WHEN 'view' THEN 0 ELSE e.k END AS BIGINT) AS likes
+       CAST(CASE e.t WHEN 'view' THEN 0 ELSE e.k END AS BIGINT) AS likes, e.t = 'purchase' AS bad
 FROM hits h JOIN e ON h.video_id = CAST(e.event_id AS VARCHAR) WHERE e.t <> 'error'""",
 )
 def videos_job(spark, sf_dir):
     """Search hits, first per query, joined to their details."""
-    hits = videos.search_hits(bodies.video_searches(spark, sf_dir)).where(F.col("pos") == 0)
+    hits = videos.search_hits(bodies.video_searches(spark, sf_dir))
     named = hits.select(
         F.col("keyword").alias("query"),
-        F.substring("video_id", 2, 20).alias("video_id"),
+        F.regexp_replace("video_id", "^u", "").alias("video_id"),
         "seq",
         "pos",
     )
     details = videos.flatten(bodies.video_details(spark, sf_dir)).select(
-        "video_id", "title", "channel_title", "likes"
+        "video_id", "title", "channel_title", "likes", F.col("problem").isNotNull().alias("bad")
     )
     found = hits_with_details(named, details, "video_id", ["seq", "pos"], scope=["query"])
     return found.select(
-        "query", F.col("video_id").cast("bigint").alias("video_no"), "title", "channel_title", "likes"
+        "query", F.col("video_id").cast("bigint").alias("video_no"), "title", "channel_title", "likes", "bad"
     )
 
 
@@ -257,3 +259,122 @@ def shorts_job(spark, sf_dir):
     return first.select("user_no", "id", "category", "views")
 
 
+@registered(
+    "flatten_video_snapshots",
+    f"""
+WITH {_EVENTS_SQL}
+SELECT CAST(event_id AS VARCHAR) AS video_id, event_id AS views,
+       CAST(CASE t WHEN 'view' THEN 0 ELSE k END AS BIGINT) AS likes, k AS comments,
+       CAST(ts AS DATE) AS crawl_date, 'general' AS category, 'youtube' AS platform
+FROM e WHERE t NOT IN ('error', 'purchase')""",
+)
+def flatten_video_snapshots(spark, sf_dir):
+    """Snapshot rows of the videos that can be read."""
+    records = videos.classified(videos.flatten(bodies.video_details(spark, sf_dir)))
+    good = records.where(F.col("problem").isNull())
+    return videos.to_snapshot_rows(good, F.col("ts").cast("date")).drop("seq", "pos")
+
+
+@registered(
+    "flatten_short_masters",
+    f"""
+WITH {_EVENTS_SQL}
+SELECT CAST(event_id AS VARCHAR) AS id,
+       CASE t WHEN 'view' THEN NULL ELSE CAST(user_id AS VARCHAR) END AS author_username,
+       CASE t WHEN 'view' THEN NULL ELSE 'nick ' || user_id END AS author_nickname,
+       CASE t WHEN 'purchase' THEN ''
+              ELSE strftime(s + INTERVAL 7 HOUR, '%Y-%m-%d %H:%M:%S') END AS create_time,
+       CASE t WHEN 'error' THEN '' ELSE substring(repeat(words, 40), 1, 400) END AS caption,
+       t AS category, ts AS first_day_crawling, ts AS last_day_crawling
+FROM e""",
+)
+def flatten_short_masters(spark, sf_dir):
+    """Master rows of short videos, without metrics."""
+    records = shorts.flatten(bodies.short_responses(spark, sf_dir))
+    return shorts.to_master_rows(records, F.col("ts")).drop("seq", "pos")
+
+
+def _spoiled(captured, kind: str, part: str, bad: str):
+    """Responses of one event type with a part of their body replaced."""
+    body = F.when(F.col("keyword") == kind, F.regexp_replace("body", part, bad))
+    return captured.withColumn("body", body.otherwise(F.col("body")))
+
+
+def _spoiled_records(spark, sf_dir):
+    """Records of all four kinds, each kind with one event type that cannot be read."""
+    return (
+        (
+            "video",
+            videos.flatten(
+                _spoiled(
+                    bodies.video_details(spark, sf_dir), "click", '"viewCount":"', '"viewCount":"1,2'
+                )
+            ),
+        ),
+        (
+            "short",
+            shorts.flatten(
+                _spoiled(
+                    bodies.short_responses(spark, sf_dir), "signup", '"diggCount":(\\d+)', '"diggCount":"$1K"'
+                )
+            ),
+        ),
+        (
+            "product",
+            products.flatten(
+                _spoiled(bodies.product_responses(spark, sf_dir), "view", '"sold":\\d+', '"sold":"many"')
+            ),
+        ),
+        (
+            "post",
+            posts.flatten(
+                _spoiled(
+                    bodies.post_responses(spark, sf_dir), "purchase", '"total_count":"', '"total_count":"~'
+                )
+            ),
+        ),
+    )
+
+
+@registered(
+    "quarantine_records",
+    """
+SELECT 'video' AS kind, event_type AS keyword, event_id AS seq, CAST(0 AS BIGINT) AS pos,
+       'unreadable count' AS problem FROM events WHERE event_type IN ('click', 'purchase')
+UNION ALL SELECT 'short', event_type, event_id, 1, 'unreadable count' FROM events
+WHERE event_type = 'signup'
+UNION ALL SELECT 'product', event_type, event_id, 0, 'unreadable count' FROM events
+WHERE event_type = 'view' AND event_id <> 0
+UNION ALL SELECT 'post', event_type, event_id, 1, 'unreadable count' FROM events
+WHERE event_type = 'purchase'""",
+)
+def quarantine_records(spark, sf_dir):
+    """Records that cannot be read, from all four flatteners, as their sink keeps them."""
+    path = new_folder(spark, "bad-records")
+    for kind, records in _spoiled_records(spark, sf_dir):
+        tables.append_rows(responses.bad_records(records, kind), path)
+    return spark.read.parquet(path)
+
+
+@registered(
+    "counters_with_errors",
+    f"""
+WITH {_EVENTS_SQL},
+good AS (SELECT CAST(user_id AS VARCHAR) AS id, count(*) AS n FROM e WHERE t <> 'signup' GROUP BY 1)
+SELECT count(*) AS inserted, CAST(0 AS BIGINT) AS updated, CAST(0 AS BIGINT) AS matched,
+       CAST(sum(n) AS BIGINT) AS history_inserted,
+       (SELECT count(*) FROM e WHERE t = 'signup') AS errors
+FROM good""",
+)
+def counters_with_errors(spark, sf_dir):
+    """Counters of a first merge of short videos, of which some cannot be read."""
+    records = dict(_spoiled_records(spark, sf_dir))["short"].withColumn(
+        "id", F.col("shares").cast("string")
+    )
+    silver = new_folder(spark, "short-records")
+    records.write.parquet(silver)
+    records = spark.read.parquet(silver)
+    bad = responses.bad_records(records, "short")
+    batch = shorts.to_master_rows(records.where(F.col("problem").isNull()), F.col("ts"))
+    merged = merge_master(batch.limit(0), batch, shorts.POLICY, ["seq", "pos"])
+    return merge_counters(merged, batch, shorts.POLICY, bad)

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from snapmart import settings
 from snapmart.operators.dedup import keep_first
 from snapmart.operators.merge import STATUS, merge_small_batch
+from snapmart.operators.ranking import top
 from snapmart.plans import shorts
 from snapmart.registry import registered, views
 from snapmart.registry.merging import SHORT_ORDER, short_parts
@@ -49,7 +50,10 @@ def catalog_roundtrip(spark, sf_dir):
     )
     master = settings.POST_TABLES[0]
     tables.save_table(orders, namespace, master)
-    return tables.table(spark, namespace, master)
+    kept = new_folder(spark, "catalog")
+    tables.table(spark, namespace, master).write.parquet(kept)
+    tables.drop_namespace(spark, namespace)
+    return spark.read.parquet(kept)
 
 
 @registered(
@@ -92,3 +96,22 @@ def master_versions(spark, sf_dir):
         "first_day_crawling",
         "last_day_crawling",
     )
+
+
+@registered(
+    "trending_written_history",
+    """
+SELECT event_id, user_id, event_type, value, crawl_date FROM (
+  SELECT event_id, user_id, event_type, value, ts AS crawl_date FROM events
+  WHERE ts >= TIMESTAMP '2024-01-20 12:00:00')
+ORDER BY value DESC, event_id LIMIT 20""",
+)
+def trending_written_history(spark, sf_dir):
+    """The highest values since a moment, of a history whose older days are not opened."""
+    path = new_folder(spark, "history")
+    observed = views.load(spark, sf_dir, "events").select(
+        "event_id", "user_id", "event_type", "value", F.col("ts").alias("crawl_date")
+    )
+    tables.append_history(observed, path, "crawl_date")
+    recent = tables.read_history(spark, path, "crawl_date", "2024-01-20 12:00:00")
+    return top(recent, "value", ["event_id"], 20).drop(tables.DAY_COLUMN)

@@ -125,3 +125,86 @@ def stream_merge(spark, sf_dir):
         spark, STREAM_POLICY, ["event_id"], stream.schema, history, master, upto
     )
     return folded.withColumn("types", F.array_join("types", ","))
+
+
+# Files that land one after the other; every key and every seq occurs in several of them.
+PARTS = 4
+
+
+def _landed_parts(spark, sf_dir):
+    """The events in ``PARTS`` files, one micro-batch each; ``seq`` starts anew in each file."""
+    path = new_folder(spark, "landed-parts")
+    rows = views.load(spark, sf_dir, "events").select(
+        "user_id",
+        "event_type",
+        F.floor(F.col("event_id") / PARTS).cast("bigint").alias("seq"),
+        F.col("event_type").alias("first_type"),
+        F.col("ts").alias("first_seen"),
+        F.col("value").alias("last_value"),
+        F.col("ts").alias("last_seen"),
+        F.pmod("event_id", F.lit(PARTS)).alias("part"),
+    )
+    for part in range(PARTS):
+        of_part = rows.where(F.col("part") == part).drop("part")
+        of_part.coalesce(1).write.mode("append").parquet(path)
+    return jobs.read_landed(spark, path, of_part.schema, files_per_trigger=1)
+
+
+_PARTS_SQL = f"""
+SELECT user_id, arg_min(event_type, (event_id % {PARTS}, event_id // {PARTS})) AS first_type,
+       arg_min(ts, (event_id % {PARTS}, event_id // {PARTS})) AS first_seen,
+       arg_max(value, (event_id % {PARTS}, event_id // {PARTS})) AS last_value,
+       arg_max(ts, (event_id % {PARTS}, event_id // {PARTS})) AS last_seen,
+       array_to_string(list_sort(list(DISTINCT event_type)), ',') AS types
+FROM events WHERE user_id <> 0 GROUP BY user_id"""
+
+
+def _merged_parts(spark, sf_dir, fold_every):
+    history, master = new_folder(spark, "history"), new_folder(spark, "master")
+    stream = _landed_parts(spark, sf_dir)
+    query = jobs.start_merge(
+        stream,
+        STREAM_POLICY,
+        ["seq"],
+        history,
+        master,
+        new_folder(spark, "checkpoint"),
+        fold_every,
+        moment="first_seen",
+    )
+    query.awaitTermination()
+    upto = query.lastProgress["batchId"]
+    folded = jobs.current_master(
+        spark, STREAM_POLICY, ["seq"], stream.schema, history, master, upto
+    )
+    return folded.withColumn("types", F.array_join("types", ","))
+
+
+@registered("stream_merge_batches", _PARTS_SQL)
+def stream_merge_batches(spark, sf_dir):
+    """Several micro-batches, a master version after each."""
+    return _merged_parts(spark, sf_dir, 1)
+
+
+@registered("stream_merge_folded", _PARTS_SQL)
+def stream_merge_folded(spark, sf_dir):
+    """The same batches, a version after the third; the rest is folded in on reading."""
+    return _merged_parts(spark, sf_dir, 3)
+
+
+@registered(
+    "stream_dedup_batches",
+    f"""
+SELECT user_id, event_type, seq FROM (
+  SELECT user_id, event_type, event_id // {PARTS} AS seq,
+         row_number() OVER (PARTITION BY user_id, event_type
+                            ORDER BY event_id % {PARTS}, event_id // {PARTS}) AS place
+  FROM events) WHERE place = 1""",
+)
+def stream_dedup_batches(spark, sf_dir):
+    """First event per user and type over several micro-batches."""
+    root, checkpoint = new_folder(spark, "first-seen"), new_folder(spark, "checkpoint")
+    stream = _landed_parts(spark, sf_dir).select("user_id", "event_type", "seq")
+    query = jobs.start_first_seen(stream, ["user_id", "event_type"], ["seq"], root, checkpoint)
+    query.awaitTermination()
+    return jobs.read_first_seen(spark, root, stream.schema)

@@ -95,7 +95,6 @@ PRODUCT_TABLES = ("Shopee_ProductCategory", "Shopee_ProductCategory_History")
 LOCAL_ZONE = "Asia/Ho_Chi_Minh"
 PRICE_SCALE = 100000
 CAPTION_CHARS = 400
-QUARANTINE_CHARS = 1000
 ERROR_CHARS = 100
 SURROGATE_MODULUS = 1_000_000_000
 TRENDING_POSTS_LIMIT = 20
@@ -107,7 +106,4 @@ TRENDING_POSTS_LIMIT = 20
 # A side is broadcast only after its size was measured to be below this.
 BROADCAST_BYTES = 64 * 1024 * 1024
 # Sub-groups used to trim a hot group before its final ranking.
-SALT_BUCKETS = 64
-# Spark trims a ranked window map-side only up to this many rows per group
-# (the default of spark.sql.optimizer.windowGroupLimitThreshold).
-WINDOW_TRIM_ROWS = 1000
+SALT_BUCKETS = 16

@@ -25,6 +25,9 @@ from snapmart.functions.variants import (
     without_guard,
 )
 
+# The decoder's limit for one body.
+MAX_BODY_BYTES = 128 * 1024 * 1024
+
 SCHEMA = T.StructType(
     [
         T.StructField("platform", T.StringType()),
@@ -52,7 +55,7 @@ def read_response_log(spark: SparkSession, path: str) -> DataFrame:
     lines = spark.read.option("lineSep", "\n=== RESPONSE ").text(path)
     heading = r"^(?:=== RESPONSE )?(\d+) ===\n"
     location = F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
-    name = F.regexp_extract(location, r"/graphql_([^/]*)\.json(?:/[^/]*)?$", 1)
+    name = F.regexp_extract(location, r"[/=]graphql_([^/]*)\.json(?:/[^/]*)?$", 1)
     return lines.where(F.col("value").rlike(heading)).select(
         F.replace(name, F.lit("_"), F.lit(" ")).alias("keyword"),
         F.regexp_extract("value", heading, 1).cast("bigint").alias("seq"),
@@ -85,14 +88,31 @@ def route_by_url(responses: DataFrame, part: str) -> DataFrame:
 
 
 def undecodable(responses: DataFrame) -> DataFrame:
-    """Dead letters: responses no decoding attempt can read, start of the body only.
+    """Dead letters: responses no decoding attempt can read, whole, with a ``reason``.
 
-    A bare JSON null counts as unreadable.
+    A bare JSON null counts as unreadable; a body beyond ``MAX_BODY_BYTES`` is
+    too long for the decoder.
     """
     body = F.col("body")
     bare_null = F.trim(without_guard(body)) == "null"
+    too_long = F.octet_length(body) > MAX_BODY_BYTES
     return responses.where(decode_tolerant(body).isNull() | bare_null).withColumn(
-        "body", F.substring("body", 1, settings.QUARANTINE_CHARS)
+        "reason", F.when(too_long, "too long").otherwise("unreadable")
+    )
+
+
+def bad_records(records: DataFrame, kind: str) -> DataFrame:
+    """Records marked with a problem, each as (kind, keyword, seq, pos, problem).
+
+    Response, keyword and place say where the record can be read again.
+    """
+    name = "keyword" if "keyword" in records.columns else "category"
+    return records.where(F.col("problem").isNotNull()).select(
+        F.lit(kind).alias("kind"),
+        F.col(name).alias("keyword"),
+        "seq",
+        F.col("pos").cast("bigint").alias("pos"),
+        "problem",
     )
 
 

@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+from datetime import datetime
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 DAY_COLUMN = "crawl_day"
 _VERSION = "upto="
+_FINISHED = "finished"
 
 
 def create_namespace(spark: SparkSession, name: str, location: str) -> None:
@@ -15,6 +19,11 @@ def create_namespace(spark: SparkSession, name: str, location: str) -> None:
     spark.sql(f"CREATE DATABASE IF NOT EXISTS `{name}` LOCATION '{location}'")
 
 
+def drop_namespace(spark: SparkSession, name: str) -> None:
+    """Remove a namespace with its tables."""
+    spark.sql(f"DROP DATABASE IF EXISTS `{name}` CASCADE")
+
+
 def table(spark: SparkSession, namespace: str, name: str) -> DataFrame:
     """A table of a platform's namespace."""
     return spark.table(f"`{namespace}`.`{name}`")
@@ -51,9 +60,31 @@ def append_history(frame: DataFrame, path: str, moment: str, regroup: bool = Tru
     dated.write.mode("append").partitionBy(DAY_COLUMN).parquet(path)
 
 
-def write_history_batch(frame: DataFrame, path: str, batch_id: int) -> None:
-    """History of one streaming batch; writing the same batch again replaces it."""
-    frame.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+def write_history_batch(
+    frame: DataFrame, path: str, batch_id: int, moment: str | None = None
+) -> None:
+    """History of one streaming batch; writing the same batch again replaces it.
+
+    With ``moment`` the batch's rows are partitioned by their day.
+    """
+    writer = frame.write.mode("overwrite")
+    if moment is not None:
+        dated = frame.withColumn(DAY_COLUMN, F.col(moment).cast("date"))
+        writer = dated.write.mode("overwrite").partitionBy(DAY_COLUMN)
+    writer.parquet(f"{path}/batch_id={batch_id}")
+
+
+def read_history(
+    spark: SparkSession, path: str, moment: str, since: str | datetime | None = None
+) -> DataFrame:
+    """History partitioned by day, from a moment on; days before it are not listed or opened."""
+    history = spark.read.parquet(path)
+    if since is None:
+        return history
+    bound = F.lit(since).cast("timestamp_ntz")
+    return history.where(
+        (F.col(DAY_COLUMN) >= bound.cast("date")) & (F.col(moment).cast("timestamp_ntz") >= bound)
+    )
 
 
 def append_rows(frame: DataFrame, path: str) -> None:
@@ -66,40 +97,38 @@ def export_json(frame: DataFrame, path: str) -> None:
     frame.write.mode("overwrite").json(path)
 
 
-def _hadoop_folder(spark: SparkSession, path: str):
-    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return folder.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()), folder
-
-
-def folder_exists(spark: SparkSession, path: str) -> bool:
-    """Whether a folder exists on the file system its path names."""
-    files, folder = _hadoop_folder(spark, path)
-    return files.exists(folder)
-
-
-def _versions(spark: SparkSession, root: str) -> list[int]:
-    # Only folder names travel to the driver; an unfinished version has no
-    # _SUCCESS marker and is ignored.
-    files, folder = _hadoop_folder(spark, root)
-    if not files.exists(folder):
-        return []
-    names = [status.getPath().getName() for status in files.listStatus(folder)]
-    return sorted(
-        int(name[len(_VERSION) :])
-        for name in names
-        if name.startswith(_VERSION) and folder_exists(spark, f"{root}/{name}/_SUCCESS")
-    )
+def read_if_any(
+    spark: SparkSession, path: str, schema: T.StructType | None = None
+) -> DataFrame | None:
+    """The Parquet folder at a path, or None when there is none yet."""
+    reader = spark.read if schema is None else spark.read.schema(schema)
+    try:
+        return reader.parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
 
 
 def latest_version(spark: SparkSession, root: str, at_most: int | None = None) -> int | None:
-    """Newest finished master version (not beyond ``at_most``), or None."""
-    usable = [v for v in _versions(spark, root) if at_most is None or v <= at_most]
-    return usable[-1] if usable else None
+    """Newest finished master version (not beyond ``at_most``), or None.
+
+    Finished versions are listed in a small table beside them, so one row comes
+    to the driver however many there are.
+    """
+    finished = read_if_any(spark, f"{root}/{_FINISHED}")
+    if finished is None:
+        return None
+    if at_most is not None:
+        finished = finished.where(F.col("version") <= at_most)
+    return finished.agg(F.max("version").alias("version")).first()["version"]
 
 
 def write_version(frame: DataFrame, root: str, version: int) -> None:
     """Write a master version into its own folder; readers keep the one they opened."""
     frame.write.mode("overwrite").parquet(f"{root}/{_VERSION}{version}")
+    listed = frame.sparkSession.createDataFrame([(version,)], "version bigint")
+    listed.coalesce(1).write.mode("append").parquet(f"{root}/{_FINISHED}")
 
 
 def read_version(spark: SparkSession, root: str, version: int) -> DataFrame:

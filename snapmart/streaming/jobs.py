@@ -72,9 +72,8 @@ def append_available(stream: DataFrame, checkpoint: str, path: str) -> Streaming
 def _batches(spark: SparkSession, root: str, schema: T.StructType) -> DataFrame:
     # The folder's batch_id is a partition column: bounds on it prune folders.
     full = T.StructType([*schema.fields, T.StructField(BATCH, T.LongType())])
-    if not tables.folder_exists(spark, root):
-        return spark.createDataFrame([], full)
-    return spark.read.schema(full).parquet(root)
+    found = tables.read_if_any(spark, root, full)
+    return spark.createDataFrame([], full) if found is None else found
 
 
 def start_first_seen(
@@ -90,14 +89,16 @@ def start_first_seen(
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        first = keep_first(batch, keys, order)
+        # Used twice below; a lost part of it is computed again.
+        first = keep_first(batch, keys, order).persist()
         seen = _batches(spark, root, batch.schema)
         seen = seen.where(F.col(BATCH) < batch_id).select(*keys)
-        wanted = batch.select(*keys).distinct()
+        wanted = first.select(*keys)
         if fits_broadcast(wanted):
             seen = seen.join(F.broadcast(wanted), keys, "left_semi")
         fresh = first.join(seen, keys, "left_anti").select(*batch.columns)
         tables.write_history_batch(fresh, root, batch_id)
+        first.unpersist()
 
     return run_available(stream, checkpoint, handle)
 
@@ -119,6 +120,8 @@ def fold_master(
 ) -> DataFrame:
     """The master after batch ``upto``: version ``base`` plus the history after it."""
     later = _batches(spark, history, schema).where(F.col(BATCH) <= upto)
+    # An earlier batch comes first whatever its seq, however many are folded at once.
+    seq = [BATCH, *seq]
     if base is None:
         return reduce_batch(later, policy, seq)
     later = later.where(F.col(BATCH) > base)
@@ -150,19 +153,21 @@ def start_merge(
     master: str,
     checkpoint: str,
     fold_every: int = 1,
+    moment: str | None = None,
 ) -> StreamingQuery:
     """Append each micro-batch to the history and fold it into the master.
 
     A large master need not be rewritten for every small batch: with
     ``fold_every`` = n a version is written after every n-th batch, and
     :func:`current_master` adds the batches since on reading.  Replaying a batch
-    rewrites its own folder and version only.
+    rewrites its own folder and version only.  With ``moment`` a batch's history
+    is also partitioned by day, for :func:`tables.read_history`.
     """
     schema = stream.schema
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        tables.write_history_batch(batch, history, batch_id)
+        tables.write_history_batch(batch, history, batch_id, moment)
         if (batch_id + 1) % fold_every == 0:
             # Not the version of this very batch: a replay folds it anew.
             base = tables.latest_version(spark, master, batch_id - 1)

@@ -238,7 +238,7 @@ def test_quarantine(spark):
     dead = responses.undecodable(spark.createDataFrame(rows, "seq bigint, body string"))
     found = {r.seq: r.body for r in dead.collect()}
     assert set(found) == {1, 3, 4}
-    assert len(found[1]) == 1000
+    assert len(found[1]) == 2004
 
 
 def test_videos(spark):
@@ -262,7 +262,8 @@ def test_videos(spark):
     assert set(rows) == {"v", "w", "y"}
     v = rows["v"]
     assert (v.views, v.likes, v.comments, v.tags, v.published_at) == (12, 3, 0, "a, b", "2024-05-06")
-    assert (rows["w"].views, rows["w"].channel_id, rows["w"].tags) == (0, "", "")
+    assert (rows["w"].views, rows["w"].channel_id, rows["w"].tags) == (None, "", "")
+    assert (v.problem, rows["w"].problem) == (None, "unreadable count")
     assert rows["y"].problem is not None
 
 
@@ -357,3 +358,27 @@ def test_instants_are_utc(spark):
     as_of = F.lit("2024-02-01 00:00:00").cast("timestamp")
     row = posts.to_master_rows(records, as_of).select(F.unix_seconds("created_at")).first()
     assert row[0] == 1700000000
+
+
+def test_counts_that_cannot_be_read_are_problems(spark):
+    short = {"data": [
+        {"id": "a", "stats": {"playCount": "12.5K"}},
+        {"id": "b", "stats": {"diggCount": "1,234"}},
+        {"id": "c", "stats": {"playCount": "7"}},
+        {"id": "d", "stats": {"shareCount": None}},
+    ]}
+    rows = {r.id: r for r in shorts.flatten(bodies(spark, short)).collect()}
+    assert [rows[i].problem for i in "abd"] == ["unreadable count"] * 3
+    assert (rows["a"].views, rows["b"].likes, rows["c"].views, rows["c"].problem) == (None, None, 7, None)
+    basic = [
+        {"itemid": 1, "sold": "many"},
+        {"itemid": 2, "historical_sold": "1.2k"},
+        {"itemid": 3, "price": None},
+        {"itemid": 4, "item_rating": {"rating_star": None}},
+        {"itemid": 5, "sold": "3"},
+    ]
+    product = {"items": [{"item_basic": b} for b in basic]}
+    rows = {r.itemid: r for r in products.flatten(bodies(spark, product)).collect()}
+    assert [rows[i].problem for i in (1, 2)] == ["unreadable count"] * 2
+    assert [rows[i].problem for i in (3, 4)] == ["unreadable price or rating"] * 2
+    assert (rows[5].sold_recent, rows[5].sold_total, rows[5].problem) == (3, 0, None)

@@ -152,12 +152,13 @@ def test_counters(spark):
     )
     merged = merge_master(master, batch, POLICY, ["seq"])
     row = merge_counters(merged, batch, POLICY).first().asDict()
+    assert merge_counters(merged, batch, POLICY, batch.limit(2)).first()["errors"] == 3
     assert row == {
         "inserted": 1,
         "updated": 1,
         "matched": 2,
         "history_inserted": 4,
-        "errors": 0,
+        "errors": 1,
     }
 
 

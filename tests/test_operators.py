@@ -231,3 +231,11 @@ def test_measured_size_bounds_the_text(spark):
     assert fits_broadcast(frame, 100_000)
     assert not fits_broadcast(frame, 9_999)
     assert measured_bytes(frame.where("s = ''")) == 0
+
+
+@pytest.mark.parametrize("count", [400, 1500])
+def test_cap_of_rows_with_a_map(spark, count):
+    rows = [("hot", n, {"like": n}) for n in range(2000)]
+    frame = spark.createDataFrame(rows, "kw string, seq bigint, reactions map<string, int>")
+    capped = dedup.cap_per_group(frame, ["kw"], ["seq"], count)
+    assert sorted(r.seq for r in capped.select("seq").collect()) == list(range(count))

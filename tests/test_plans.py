@@ -6,6 +6,7 @@ import pytest
 from conftest import SF
 
 import __spark_entry__ as contract
+from snapmart import registry
 from snapmart.registry import views
 
 
@@ -31,10 +32,18 @@ def test_ranked_windows_are_trimmed_before_the_shuffle(spark, name):
     assert "Partial" in plan
 
 
-def test_large_caps_are_trimmed_in_salted_groups(spark):
-    plan = plan_of(spark, "cap_per_keyword_large")
+@pytest.mark.parametrize("name", ["cap_per_keyword", "cap_per_keyword_large"])
+def test_caps_of_any_size_are_trimmed_before_each_shuffle(spark, name):
+    plan = plan_of(spark, name)
     assert "_salt" in plan
     assert plan.count("Exchange hashpartitioning") == 2
+    # Before and after each of the two shuffles.
+    assert plan.count("WindowGroupLimit") == 4
+
+
+def test_history_of_older_days_is_not_opened(spark):
+    plan = plan_of(spark, "trending_written_history")
+    assert "PartitionFilters: [isnotnull(crawl_day" in plan
 
 
 def test_filters_and_columns_reach_the_scan(spark):
@@ -62,10 +71,11 @@ def test_merge_joins_one_row_per_key(spark):
     assert "partial_min_by" in plan
 
 
-STREAMED = {name for name in contract.queries() if name.startswith("stream_")}
+OWN = set(registry.QUERIES)
+STREAMED = {name for name in OWN if name.startswith("stream_")}
 
 
-@pytest.mark.parametrize("name", sorted(set(contract.queries()) - STREAMED))
+@pytest.mark.parametrize("name", sorted(OWN - STREAMED))
 def test_no_python_and_no_cross_join(spark, name):
     plan = plan_of(spark, name)
     for unwanted in ("EvalPython", "MapInPandas", "CartesianProduct", "NestedLoopJoin"):
