@@ -12,8 +12,8 @@ the runs found in later places are deleted.
 First is the document with the smallest doc_id (null ids last, then the hash
 of the text); inside a document, the first place.  Rows that agree in doc_id
 and text are one document.  Only hashes and positions are shuffled before the
-last join, and what a fingerprint's first place needs for the extension is
-bounded by ``MIN_WORDS`` lines each way.
+last join, and what a fingerprint's first place needs for the extension has
+fewer than ``MIN_WORDS`` words each way.
 """
 
 from __future__ import annotations
@@ -45,8 +45,10 @@ def windows(
 ) -> Iterator[tuple[int, int, int, list[int], list[int]]]:
     """(mark, first line, line after the last, hashes before, hashes after) of each window.
 
-    The hashes before are listed from the nearest line backwards.  The mark
-    joins the window's smallest line hash with the hash of its lines.
+    The hashes before are listed from the nearest line backwards.  Either side
+    reaches as far as it has fewer words than a window; what agrees beyond that
+    lies in windows of its own.  The mark joins the window's smallest line hash
+    with the hash of its lines.
     """
     lines = [line.strip() for line in (text or b"").split(b"\n")]
     at = [i for i, line in enumerate(lines) if line]
@@ -55,6 +57,9 @@ def windows(
     # ends[k]: the first line index (of the lines with words) after the window from k.
     total = np.concatenate([[0], np.cumsum(counts)])
     ends = np.searchsorted(total, total[:-1] + min_words, side="left")
+    # Lines from low[k] to k, and from k to high[k], have fewer words than a window.
+    high = np.searchsorted(total, total + min_words, side="left") - 1
+    low = np.searchsorted(total, total - min_words, side="right")
     listed = hashes.view(np.int64).tolist()
     for k, end in enumerate(ends.tolist()):
         if end > len(at):
@@ -62,8 +67,7 @@ def windows(
         part = hashes[k:end]
         anchor = part.min().tobytes()
         mark = xxhash.xxh64_intdigest(anchor + part.tobytes()) - (1 << 63)
-        before = listed[max(0, k - min_words) : k][::-1]
-        yield mark, at[k], at[end - 1] + 1, before, listed[end : end + min_words]
+        yield mark, at[k], at[end - 1] + 1, listed[low[k] : k][::-1], listed[end : high[end]]
 
 
 def places(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
