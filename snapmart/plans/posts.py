@@ -216,7 +216,12 @@ def flatten(responses: DataFrame) -> DataFrame:
         "$.video_view_count",
         "variant",
     )
-    shaped = edges.select(*carried, F.col(STORY).alias("story")).select(
+    # A generator of one row: the filter on the attachments stays above it, so
+    # they are typed once.
+    stories = edges.select(*carried, F.col(STORY).alias("story")).select(
+        *carried, "story", F.explode(F.array(_attachments())).alias("attachments")
+    )
+    shaped = stories.select(
         *carried,
         filled(F.col("story.id")).alias("id"),
         F.coalesce(F.col("story.__typename"), F.lit("Story")).alias("type"),
@@ -228,7 +233,7 @@ def flatten(responses: DataFrame) -> DataFrame:
         truthy_long(F.col(f"{FEEDBACK}.share_count.count")).alias("share_count"),
         truthy_long(views).alias("view_count"),
         _reaction_entries().alias("entries"),
-        _attachments().alias("attachments"),
+        "attachments",
     )
     kept = filters.with_content(
         shaped.where(F.col("id").isNotNull()), "text", "attachments"

@@ -90,3 +90,9 @@ def test_the_body_is_decoded_once_per_response(spark):
     plan = flat._jdf.queryExecution().executedPlan().toString()
     decoding = [line for line in plan.split("\n") if "parseJson" in line]
     assert len(decoding) == 1
+
+
+def test_attachments_are_typed_once(spark):
+    plan = plan_of(spark, "flatten_posts")
+    typing = [line for line in plan.split("\n") if "preferred_story_attachment_image" in line]
+    assert len(typing) == 1 and "Generate explode(array(" in typing[0]
