@@ -23,6 +23,7 @@ from snapmart.functions.texts import is_blank
 from snapmart.operators.filters import drop_without_key
 from snapmart.operators.sizing import fits_broadcast
 from snapmart.sources.tables import has_key
+from snapmart.workspace import new_folder
 
 STATUS = "merge_status"
 INSERTED, CHANGED, MATCHED, UNTOUCHED = "inserted", "changed", "matched", "untouched"
@@ -65,8 +66,13 @@ def reduce_batch(batch: DataFrame, policy: MergePolicy, seq: Sequence[str]) -> D
     )
 
 
-def merge_reduced(master: DataFrame, reduced: DataFrame, policy: MergePolicy) -> DataFrame:
-    """Merge a batch that already has one row per key; adds ``merge_status``."""
+def merge_reduced(
+    master: DataFrame, reduced: DataFrame, policy: MergePolicy, how: str = "full_outer"
+) -> DataFrame:
+    """Merge a batch that already has one row per key; adds ``merge_status``.
+
+    With ``how="left"`` keys that are only in the batch are left out.
+    """
     key = policy.key
     values = policy.columns[1:]
     old = master.select(key, *(F.col(c).alias(f"_old_{c}") for c in values), F.lit(1).alias("_o"))
@@ -92,7 +98,7 @@ def merge_reduced(master: DataFrame, reduced: DataFrame, policy: MergePolicy) ->
     status = (
         F.when(~in_old, INSERTED).when(~in_new, UNTOUCHED).when(differs, CHANGED).otherwise(MATCHED)
     )
-    return old.join(new, key, "full_outer").select(
+    return old.join(new, key, how).select(
         key, *(result[c].alias(c) for c in values), status.alias(STATUS)
     )
 
@@ -111,21 +117,25 @@ def merge_small_batch(
     seq: Sequence[str],
     limit: int = settings.BROADCAST_BYTES,
 ) -> DataFrame:
-    """The same result without shuffling the part of the master the batch leaves alone.
+    """The same result without shuffling the master, when the reduced batch is small.
 
-    The distinct keys of the batch are measured; if they may be broadcast, only
-    the master rows they hit go through the join and all others pass by.  Larger
-    batches take the general way.
+    The batch is reduced once, into a written table.  If that measures small
+    enough to broadcast, the master is read once and meets it where it lies; the
+    batch's new keys are those that a second look at the master's keys does not
+    find.  Larger batches take the general way with the same reduced table.
     """
-    keys = drop_without_key(batch, policy.key).select(policy.key).distinct()
-    if not fits_broadcast(keys, limit):
-        return merge_master(master, batch, policy, seq)
-    wanted = F.broadcast(keys)
-    hit = master.join(wanted, policy.key, "left_semi")
-    rest = master.join(wanted, policy.key, "left_anti")
-    return merge_master(hit, batch, policy, seq).unionByName(
-        rest.select(*policy.columns, F.lit(UNTOUCHED).alias(STATUS))
-    )
+    folder = new_folder(batch.sparkSession, "reduced-batch")
+    shape = reduce_batch(batch, policy, seq)
+    shape.write.parquet(folder)
+    reduced = batch.sparkSession.read.schema(shape.schema).parquet(folder)
+    if not fits_broadcast(reduced, limit):
+        return merge_reduced(master, reduced, policy)
+    key = policy.key
+    met = merge_reduced(master, F.broadcast(reduced), policy, "left")
+    # At most as many keys as the reduced batch has rows.
+    known = master.select(key).join(F.broadcast(reduced.select(key)), key, "left_semi")
+    fresh = reduced.join(known.distinct(), key, "left_anti")
+    return met.unionByName(fresh.select(*policy.columns, F.lit(INSERTED).alias(STATUS)))
 
 
 def merge_counters(
