@@ -182,7 +182,9 @@ def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     text changed.  An empty table gives no rows.
     """
     runs = repeated_runs(docs, min_words).select(
-        F.col("doc_id").alias("_line_id"), F.col("text_hash").alias("_line_hash"), F.col("runs").alias("_line_runs")
+        F.col("doc_id").alias("_line_id"),
+        F.col("text_hash").alias("_line_hash"),
+        F.col("runs").alias("_line_runs"),
     )
     rows = docs.join(
         runs,

@@ -14,11 +14,11 @@ def look_up(rows: DataFrame, known: DataFrame, key: str, how: str = "left") -> D
     """Join rows, of which a third may share one key, to a side with one row per key.
 
     The rows of a key are dealt to ``SALTS`` parts and the known side is sent to
-    each, so no task gets all rows of a hot key.
+    each, so no task gets all rows of a hot key.  The part follows from the rest
+    of the row, so a row that is computed again goes where it went before.
     """
-    dealt = rows.withColumn(
-        "_salt", F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(SALTS)).cast("int")
-    )
+    rest = [c for c in rows.columns if c != key]
+    dealt = rows.withColumn("_salt", F.pmod(F.xxhash64(*rest), F.lit(SALTS)).cast("int"))
     spread = known.withColumn("_salt", F.explode(F.lit(list(range(SALTS)))))
     return dealt.join(spread, [key, "_salt"], how).drop("_salt")
 

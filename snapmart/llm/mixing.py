@@ -142,31 +142,34 @@ def block_plan(keyed: DataFrame, shares: list[Share]) -> DataFrame:
         [(s.source, s.weight, s.full_passes, s.left) for s in shares],
         "_mix_source string, _mix_weight double, _mix_full int, _mix_left bigint",
     )
-    blocks = keyed.groupBy("_mix_source", "_mix_block").agg(F.sum("_mix_tokens").alias("_mix_tokens"))
-    order = Window.partitionBy("_mix_source").orderBy(_block_order(F.col("_mix_full")), "_mix_block")
+    block = ["_mix_source", "_mix_block"]
+    blocks = keyed.groupBy(*block).agg(F.sum("_mix_tokens").alias("_mix_tokens"))
+    order = Window.partitionBy("_mix_source").orderBy(
+        _block_order(F.col("_mix_full")), "_mix_block"
+    )
+    left = F.col("_mix_left")
     summed = (
-        blocks.join(F.broadcast(budgets), "_mix_source")
+        blocks.join(budgets, "_mix_source")
         .withColumn("_mix_sum", F.sum("_mix_tokens").over(order))
-        .withColumn("_mix_whole", (F.col("_mix_left") > 0) & (F.col("_mix_sum") <= F.col("_mix_left")))
+        .withColumn("_mix_whole", (left > 0) & (F.col("_mix_sum") <= left))
     )
     summed = saved(summed, "mixing-blocks")
     # The block at the edge: documents by place, copies of a place together.
-    edge = summed.where(~F.col("_mix_whole") & (F.col("_mix_sum") - F.col("_mix_tokens") < F.col("_mix_left")))
-    edge = edge.select("_mix_source", "_mix_block", (F.col("_mix_left") - F.col("_mix_sum") + F.col("_mix_tokens")).alias("_mix_room"))
+    room = left - F.col("_mix_sum") + F.col("_mix_tokens")
+    edge = summed.where(~F.col("_mix_whole") & (room > 0)).select(*block, room.alias("_mix_room"))
+    by_place = Window.partitionBy(*block).orderBy("_mix_place")
     inside = (
-        keyed.groupBy("_mix_source", "_mix_block", "_mix_place")
+        keyed.groupBy(*block, "_mix_place")
         .agg(F.sum("_mix_tokens").alias("_mix_tokens"))
-        .join(F.broadcast(edge) if fits_broadcast(edge) else edge, ["_mix_source", "_mix_block"])
-        .withColumn(
-            "_mix_sum", F.sum("_mix_tokens").over(Window.partitionBy("_mix_source", "_mix_block").orderBy("_mix_place"))
-        )
+        .join(F.broadcast(edge) if fits_broadcast(edge) else edge, block)
+        .withColumn("_mix_sum", F.sum("_mix_tokens").over(by_place))
         .where(F.col("_mix_sum") <= F.col("_mix_room"))
-        .groupBy("_mix_source", "_mix_block")
+        .groupBy(*block)
         .agg(F.max("_mix_place").alias("_mix_last"))
     )
     upto = F.when(F.col("_mix_whole"), F.lit((1 << 63) - 1)).otherwise(F.col("_mix_last"))
-    return summed.join(inside, ["_mix_source", "_mix_block"], "left").select(
-        "_mix_source", "_mix_block", "_mix_weight", "_mix_full", upto.alias("_mix_upto")
+    return summed.join(inside, block, "left").select(
+        *block, "_mix_weight", "_mix_full", upto.alias("_mix_upto")
     )
 
 
@@ -189,7 +192,8 @@ def mixed(
     added = ("mix_weight", "mix_epoch", "mix_block", "mix_order")
     carried = [c for c in docs.columns if c not in added]
     keyed = _keyed(docs)
-    narrow = saved(keyed.select("_mix_source", "_mix_block", "_mix_place", "_mix_tokens"), "mixing-tokens")
+    narrow = keyed.select("_mix_source", "_mix_block", "_mix_place", "_mix_tokens")
+    narrow = saved(narrow, "mixing-tokens")
     totals = {
         r["_mix_source"]: r["n"]
         for r in narrow.groupBy("_mix_source").agg(F.sum("_mix_tokens").alias("n")).collect()

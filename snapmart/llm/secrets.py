@@ -211,7 +211,10 @@ def find_secrets(
         )
     )
     found = docs.select(
-        *carried, body.alias("_secret_body"), base.alias("base"), located(body, CANDIDATE, 3).alias("_secret_runs")
+        *carried,
+        body.alias("_secret_body"),
+        base.alias("base"),
+        located(body, CANDIDATE, 3).alias("_secret_runs"),
     )
     added = F.filter(
         entropy_spans(found, "_secret_body", "_secret_runs", allow_list),

@@ -83,7 +83,8 @@ def with_fingerprints(
 def segment_masks(segments: int) -> list[int]:
     """Masks of the segments, from the high bits down."""
     cuts = [BITS * i // segments for i in range(segments + 1)]
-    return [((1 << BITS - a) - 1) ^ ((1 << BITS - b) - 1) for a, b in zip(cuts, cuts[1:], strict=False)]
+    below = [(1 << BITS - cut) - 1 for cut in cuts]
+    return [a ^ b for a, b in zip(below, below[1:], strict=False)]
 
 
 def probe_masks(segments: int, max_bits: int) -> list[list[int]]:
@@ -203,7 +204,8 @@ def keep_one(docs: DataFrame, spark_key: str = "doc_id") -> DataFrame:
     near = near_duplicates(numbered, row, "text")
     ids = numbered.select(row, F.col(spark_key).alias("_simhash_key"))
     # Smallest id first, nulls last; equal ids by row.
-    place = F.struct(F.col("_simhash_key").isNull().alias("none"), F.col("_simhash_key"), F.col(row).alias("at"))
+    key = F.col("_simhash_key")
+    place = F.struct(key.isNull().alias("none"), key, F.col(row).alias("at"))
     stays = (
         near.join(ids, row)
         .groupBy("component_id")

@@ -10,8 +10,9 @@ The first coordinate of an embedding is the shrunken log odds of a toxic
 document given the word or trigram, the others are fixed random values.  The
 network above them is trained in numpy on a bounded, hash-ordered sample of
 labelled documents: one half counts the log odds, the other trains, so that the
-network does not learn to trust odds that its own documents have made.  A document's label says nothing about which window is toxic, so the
-gradient flows to its windows in proportion to their weight in a soft maximum.
+network does not learn to trust odds that its own documents have made.  A
+document's label says nothing about which window is toxic, so the gradient flows
+to its windows in proportion to their weight in a soft maximum.
 Scoring runs in tasks over all documents with the parameters as a broadcast
 value of fixed size.
 """
