@@ -36,7 +36,7 @@ def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def in_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with the ids of their pieces, decoded again to see that nothing is lost."""
-    both = pieces.decoded(pieces.encoded(docs))
+    both = pieces.encoded_and_decoded(docs)
     return both.withColumn("round_trip", F.col("decoded").eqNullSafe(F.col("text"))).drop("decoded")
 
 

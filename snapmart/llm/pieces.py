@@ -23,6 +23,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -34,26 +35,28 @@ from pyspark.sql import types as T
 MODEL_FILE = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"
 # Marked words that a task remembers, and pairs of pieces whose merging it remembers.
-_CACHE_WORDS = 300_000
-_CACHE_PAIRS = 500_000
+_CACHE_WORDS = 150_000
+_CACHE_PAIRS = 250_000
+# Characters of texts that are cut into words at a time, and words of one longer text.
+_HELD_CHARS = 1_000_000
+_HELD_WORDS = 200_000
 
 
 @dataclass(frozen=True)
 class Vocabulary:
     """Pieces that merging can make, with ids and scores, and the ids of bytes."""
 
-    ids: dict[str, int]
+    pieces: dict[str, tuple[str, bytes]]  # each piece with its id as four bytes
     scores: dict[str, float]
+    tails: dict[str, int]  # length of the longest piece that ends in two characters
     byte_ids: list[int]
-    unknown: int
-    longest: int
     texts: list[bytes]  # what each id decodes to
 
     @classmethod
     def load(cls, path: str = MODEL_FILE) -> Vocabulary:
         """Read a model file."""
         model = sentencepiece.SentencePieceProcessor(model_file=path)
-        ids, scores, texts = {}, {}, []
+        found, scores, texts, tails = {}, {}, [], {}
         byte_ids = [model.unk_id()] * 256
         for i in range(model.get_piece_size()):
             piece = model.id_to_piece(i)
@@ -63,12 +66,14 @@ class Vocabulary:
             elif model.is_control(i) or model.is_unknown(i) or model.is_unused(i):
                 texts.append(" ⁇ ".encode() if model.is_unknown(i) else b"")
             else:
-                ids[piece], scores[piece] = i, model.get_score(i)
+                found[piece] = (piece, np.int32(i).tobytes())
+                scores[piece] = model.get_score(i)
+                tails[piece[-2:]] = max(tails.get(piece[-2:], 0), len(piece))
                 texts.append(piece.replace(MARK, " ").encode())
-        inner = [p for p in ids if re.search(f"[^{MARK}]{MARK}|\n", p)]
+        inner = [p for p in found if re.search(f"[^{MARK}]{MARK}|\n", p)]
         if inner:
             raise ValueError(f"pieces reach across words: {inner[:3]}")
-        return cls(ids, scores, byte_ids, model.unk_id(), max(map(len, ids), default=1), texts)
+        return cls(found, scores, tails, byte_ids, texts)
 
 
 @dataclass
@@ -78,6 +83,7 @@ class Encoder:
     vocabulary: Vocabulary
     words: dict[str, bytes] = field(default_factory=dict)
     pairs: dict[tuple[str, str], bool] = field(default_factory=dict)
+    steps: int = 0  # forward steps taken
 
     def merged(self, symbols: list[str]) -> list[str]:
         """Merge neighbours, the highest score first, from the left, until none is a piece."""
@@ -94,68 +100,102 @@ class Encoder:
 
     def apart(self, left: str, right: str) -> bool:
         """Whether merging makes and keeps two neighbouring pieces (or one at the start)."""
-        known = self.pairs.get((left, right))
-        if known is None:
-            if len(self.pairs) >= _CACHE_PAIRS:
-                self.pairs.clear()
-            known = self.merged(list(left + right)) == [p for p in (left, right) if p]
-            self.pairs[left, right] = known
-        return known
+        if len(self.pairs) >= _CACHE_PAIRS:
+            self.pairs.clear()
+        apart = self.merged(list(left + right)) == [p for p in (left, right) if p]
+        self.pairs[left, right] = apart
+        return apart
 
     def learn(self, words: set[str]) -> None:
-        """Encode new marked words in sorted order."""
-        ids, longest = self.vocabulary.ids, self.vocabulary.longest
-        last: list[str] = [""]  # the last piece of each prefix of the current word
+        """Encode new marked words in sorted order, from the states of the common prefix on."""
+        known, pairs, tails = self.vocabulary.pieces, self.pairs, self.vocabulary.tails
+        # Forward states of the current word's prefixes: the last piece, and all ids.
+        last: list[str] = [""]
+        made: list[bytes] = [b""]
         before = ""
         for word in sorted(words):
             shared = 0
-            top = min(len(before), len(word))
-            while shared < top and before[shared] == word[shared]:
+            for x, y in zip(before, word, strict=False):
+                if x != y:
+                    break
                 shared += 1
-            del last[shared + 1 :]
+            del last[shared + 1 :], made[shared + 1 :]
             for end in range(shared + 1, len(word) + 1):
-                last.append(self._last_piece(word, end, last, ids, longest))
+                self.steps += 1
+                # Only one piece fits; most often it is the last one and one more character.
+                start = end - 1 - len(last[end - 1])
+                found = known.get(word[start:end])
+                if found is not None and pairs.get((last[start], found[0])):
+                    last.append(found[0])
+                    made.append(made[start] + found[1])
+                    continue
+                start = max(0, end - tails.get(word[end - 2 : end], 1)) if end > 1 else end - 1
+                while start < end - 1:
+                    found = known.get(word[start:end])
+                    if found is not None:
+                        apart = pairs.get((last[start], found[0]))
+                        if apart is None:
+                            apart = self.apart(last[start], found[0])
+                        if apart:
+                            break
+                    start += 1
+                else:
+                    start = end - 1
+                    found = known.get(word[start]) or self._spelled(word[start])
+                last.append(found[0])
+                made.append(made[start] + found[1])
             before = word
-            self.words[word] = self._ids(word, last)
-
-    def _last_piece(self, word: str, end: int, last: list[str], ids, longest: int) -> str:
-        for start in range(max(0, end - longest), end - 1):
-            piece = word[start:end]
-            if piece in ids and self.apart(last[start], piece):
-                return piece
-        return word[end - 1]
-
-    def _ids(self, word: str, last: list[str]) -> bytes:
-        found, end = [], len(word)
-        while end:
-            piece = last[end]
-            known = self.vocabulary.ids.get(piece)
-            if known is not None:
-                found.append(known)
-            else:
-                found.extend(self.vocabulary.byte_ids[b] for b in reversed(piece.encode()))
-            end -= len(piece)
-        return np.array(found[::-1], np.int32).tobytes()
+            self.words[word] = made[len(word)]
+
+    def _spelled(self, char: str) -> tuple[str, bytes]:
+        """A character that is no piece, as its bytes."""
+        ids = [self.vocabulary.byte_ids[b] for b in char.encode()]
+        return char, np.array(ids, np.int32).tobytes()
 
     def encode(self, texts: list[str | None]) -> list[np.ndarray | None]:
-        """Ids of each text; None for None."""
-        cut = [None if t is None else marked_words(t) for t in texts]
+        """Ids of each text; None for None.  Few words are held at a time."""
+        out: list[np.ndarray | None] = [None] * len(texts)
+        group: list[int] = []
+        held = 0
+        for i, text in enumerate(texts):
+            if text is None:
+                continue
+            if len(text) > _HELD_CHARS:
+                words = map(re.Match.group, _WORD.finditer(_marked(text)))
+                parts = iter(lambda: list(islice(words, _HELD_WORDS)), [])  # noqa: B023
+                out[i] = np.concatenate([self._look_up([part])[0] for part in parts])
+                continue
+            group.append(i)
+            held += len(text)
+            if held > _HELD_CHARS:
+                self._fill(out, texts, group)
+                group, held = [], 0
+        self._fill(out, texts, group)
+        return out
+
+    def _fill(self, out: list, texts: list, group: list[int]) -> None:
+        found = self._look_up([marked_words(texts[i]) for i in group])
+        for i, ids in zip(group, found, strict=True):
+            out[i] = ids
+
+    def _look_up(self, cut: list[list[str]]) -> list[np.ndarray]:
         if len(self.words) > _CACHE_WORDS:
             self.words.clear()
-        self.learn({w for words in cut if words for w in words if w not in self.words})
+        self.learn({w for words in cut for w in words if w not in self.words})
         look = self.words.__getitem__
-        return [
-            None if words is None else np.frombuffer(b"".join(map(look, words)), np.int32)
-            for words in cut
-        ]
+        return [np.frombuffer(b"".join(map(look, words)), np.int32) for words in cut]
 
 
 _WORD = re.compile(f"{MARK}*[^{MARK}\n]+|{MARK}+|\n")
 
 
+def _marked(text: str) -> str:
+    return MARK + text.replace(" ", MARK) if text else ""
+
+
 def marked_words(text: str) -> list[str]:
     """The marked words of a text, in order; none for an empty text."""
-    return _WORD.findall(MARK + text.replace(" ", MARK)) if text else []
+    return _WORD.findall(_marked(text))
 
 
 def decode(vocabulary: Vocabulary, ids: np.ndarray) -> str:
@@ -164,23 +204,42 @@ def decode(vocabulary: Vocabulary, ids: np.ndarray) -> str:
     return text[1:] if text.startswith(" ") else text
 
 
-def _mapped(docs: DataFrame, model_file: str, column: str, out: T.StructField, convert) -> DataFrame:
-    """All columns of the rows and one more, made from a column by a function of batches."""
+# Rows of a batch that are converted, and passed on, together.
+_ROWS = 256
+
+
+def _mapped(docs: DataFrame, model_file: str, column: str, out: list[T.StructField], convert):
+    """All columns of the rows and some more, made from a column by a function of arrays."""
     shared = docs.sparkSession.sparkContext.broadcast(Vocabulary.load(model_file))
-    carried = [c for c in docs.columns if c != out.name]
+    made_names = [f.name for f in out]
+    carried = [c for c in docs.columns if c not in made_names]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task = convert(shared.value)
         for batch in batches:
-            made = task(batch.column(0))
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns[1:], made], [*batch.schema.names[1:], out.name]
-            )
-
-    schema = T.StructType([*(docs.schema[c] for c in carried), out])
+            for low in range(0, batch.num_rows, _ROWS):
+                part = batch.slice(low, _ROWS)
+                yield pa.RecordBatch.from_arrays(
+                    [*part.columns[1:], *task(part.column(0))],
+                    [*part.schema.names[1:], *made_names],
+                )
+
+    schema = T.StructType([*(docs.schema[c] for c in carried), *out])
     return docs.select(F.col(column).alias("_piece_input"), *carried).mapInArrow(run, schema)
 
 
+def _id_lists(found: list[np.ndarray | None]) -> pa.Array:
+    sizes = [0 if f is None else len(f) for f in found]
+    flat = np.concatenate([np.zeros(0, np.int32), *(f for f in found if f is not None)])
+    offsets = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
+    none = pa.array([f is None for f in found], pa.bool_())
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat, pa.int32()), mask=none)
+
+
+def _ids_field(name: str) -> T.StructField:
+    return T.StructField(name, T.ArrayType(T.IntegerType()))
+
+
 def encoded(
     docs: DataFrame, model_file: str = MODEL_FILE, text: str = "text", out: str = "ids"
 ) -> DataFrame:
@@ -193,20 +252,9 @@ def encoded(
 
     def convert(vocabulary: Vocabulary):
         encoder = Encoder(vocabulary)
+        return lambda texts: [_id_lists(encoder.encode(texts.to_pylist()))]
 
-        def task(texts: pa.Array) -> pa.Array:
-            found = encoder.encode(texts.to_pylist())
-            sizes = [0 if f is None else len(f) for f in found]
-            flat = np.concatenate([f for f in found if f is not None] or [np.zeros(0, np.int32)])
-            offsets = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
-            none = pa.array([f is None for f in found], pa.bool_())
-            return pa.ListArray.from_arrays(
-                pa.array(offsets, pa.int32()), pa.array(flat, pa.int32()), mask=none
-            )
-
-        return task
-
-    return _mapped(docs, model_file, text, T.StructField(out, T.ArrayType(T.IntegerType())), convert)
+    return _mapped(docs, model_file, text, [_ids_field(out)], convert)
 
 
 def decoded(
@@ -219,13 +267,32 @@ def decoded(
     """
 
     def convert(vocabulary: Vocabulary):
-        def task(lists: pa.Array) -> pa.Array:
-            texts = [
-                decode(vocabulary, np.asarray(x.values, np.int32)) if x.is_valid else None
-                for x in lists
-            ]
-            return pa.array(texts, pa.string())
+        def task(lists: pa.Array) -> list[pa.Array]:
+            values = [np.asarray(x.values, np.int32) if x.is_valid else None for x in lists]
+            return [pa.array([None if v is None else decode(vocabulary, v) for v in values], pa.string())]
+
+        return task
+
+    return _mapped(docs, model_file, ids, [T.StructField(out, T.StringType())], convert)
+
+
+def encoded_and_decoded(
+    docs: DataFrame,
+    model_file: str = MODEL_FILE,
+    text: str = "text",
+    ids: str = "ids",
+    out: str = "decoded",
+) -> DataFrame:
+    """:func:`encoded`, then :func:`decoded` on its ids, in one pass over the rows."""
+
+    def convert(vocabulary: Vocabulary):
+        encoder = Encoder(vocabulary)
+
+        def task(texts: pa.Array) -> list[pa.Array]:
+            found = encoder.encode(texts.to_pylist())
+            back = [None if f is None else decode(vocabulary, f) for f in found]
+            return [_id_lists(found), pa.array(back, pa.string())]
 
         return task
 
-    return _mapped(docs, model_file, ids, T.StructField(out, T.StringType()), convert)
+    return _mapped(docs, model_file, text, [_ids_field(ids), T.StructField(out, T.StringType())], convert)

@@ -84,7 +84,7 @@ def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of every document, and the digest of what they decode to."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    both = pieces.decoded(pieces.encoded(docs))
+    both = pieces.encoded_and_decoded(docs)
     return both.select(
         "doc_id",
         F.size("ids").alias("n_ids"),

@@ -51,11 +51,9 @@ def test_given_documents(library, given):
 def test_prefixes_are_shared(library):
     encoder = pieces.Encoder(pieces.Vocabulary.load())
     words = {pieces.MARK + "inter" + tail for tail in ("", "nation", "national", "nationally", "net")}
-    asked = []
-    plain = encoder._last_piece
-    encoder._last_piece = lambda word, end, *rest: asked.append((word, end)) or plain(word, end, *rest)
     encoder.learn(words)
-    assert len(asked) == len({w[:e] for w, e in asked}) < sum(map(len, words))
+    prefixes = {w[:e] for w in words for e in range(1, len(w) + 1)}
+    assert encoder.steps == len(prefixes) < sum(map(len, words))
 
 
 def test_awkward_documents(documents, awkward, library):
@@ -65,9 +63,24 @@ def test_awkward_documents(documents, awkward, library):
         assert r["ids"] == (None if r["text"] is None else library.encode(r["text"]))
         assert r["decoded"] == r["text"]
     assert pieces.decoded(pieces.encoded(documents([]))).collect() == []
+    at_once = pieces.encoded_and_decoded(documents(awkward)).collect()
+    assert sorted(at_once, key=repr) == sorted(rows, key=repr)
+    assert pieces.encoded_and_decoded(documents([])).collect() == []
 
 
 def test_clashing_columns(spark):
     frame = spark.createDataFrame([(1, "a b", 5, "x")], "doc_id int, text string, ids int, decoded string")
     row = pieces.decoded(pieces.encoded(frame)).first()
     assert row["decoded"] == "a b" and row["doc_id"] == 1 and len(row["ids"]) == 2
+
+
+def test_long_texts_are_cut_in_parts(library, monkeypatch):
+    monkeypatch.setattr(pieces, "_HELD_CHARS", 50)
+    monkeypatch.setattr(pieces, "_HELD_WORDS", 3)
+    monkeypatch.setattr(pieces, "_CACHE_WORDS", 5)
+    monkeypatch.setattr(pieces, "_CACHE_PAIRS", 5)
+    texts = ["the thing inside the other thing " * n for n in range(6)] + [None, "", "a"]
+    found = pieces.Encoder(pieces.Vocabulary.load()).encode(texts)
+    assert [None if f is None else f.tolist() for f in found] == [
+        None if t is None else library.encode(t) for t in texts
+    ]
