@@ -7,8 +7,9 @@ words of a batch are sorted; taken in that order they are the leaves of a trie
 met depth-first, and the forward states of a common prefix are kept from one
 word to the next.
 
-The forward state of a prefix is its last piece and score.  The vocabulary is of
-the merging kind (byte-pair encoding), for which the segmentation with the
+The forward state of a prefix is its last piece, whose length says which shorter
+prefix comes before it; ids are put together once at the end of a word, so memory
+is linear in the length of a word.  The vocabulary is of the merging kind (byte-pair encoding), for which the segmentation with the
 highest sum of scores is not the library's.  A segmentation is the one that
 merging gives exactly if merging leaves each pair of neighbouring pieces as it
 is, so the step of the recursion only admits a piece after a state whose last
@@ -34,8 +35,10 @@ from pyspark.sql import types as T
 
 MODEL_FILE = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"
-# Marked words that a task remembers, and pairs of pieces whose merging it remembers.
+# Marked words that a task remembers, their characters, and pairs of pieces whose merging
+# it remembers.
 _CACHE_WORDS = 150_000
+_CACHE_CHARS = 5_000_000
 _CACHE_PAIRS = 250_000
 # Characters of texts that are cut into words at a time, and words of one longer text.
 _HELD_CHARS = 1_000_000
@@ -84,6 +87,7 @@ class Encoder:
     words: dict[str, bytes] = field(default_factory=dict)
     pairs: dict[tuple[str, str], bool] = field(default_factory=dict)
     steps: int = 0  # forward steps taken
+    chars: int = 0  # characters of the words remembered
 
     def merged(self, symbols: list[str]) -> list[str]:
         """Merge neighbours, the highest score first, from the left, until none is a piece."""
@@ -109,9 +113,8 @@ class Encoder:
     def learn(self, words: set[str]) -> None:
         """Encode new marked words in sorted order, from the states of the common prefix on."""
         known, pairs, tails = self.vocabulary.pieces, self.pairs, self.vocabulary.tails
-        # Forward states of the current word's prefixes: the last piece, and all ids.
+        # Forward states of the current word's prefixes: the last piece.
         last: list[str] = [""]
-        made: list[bytes] = [b""]
         before = ""
         for word in sorted(words):
             shared = 0
@@ -119,7 +122,7 @@ class Encoder:
                 if x != y:
                     break
                 shared += 1
-            del last[shared + 1 :], made[shared + 1 :]
+            del last[shared + 1 :]
             for end in range(shared + 1, len(word) + 1):
                 self.steps += 1
                 # Only one piece fits; most often it is the last one and one more character.
@@ -127,7 +130,6 @@ class Encoder:
                 found = known.get(word[start:end])
                 if found is not None and pairs.get((last[start], found[0])):
                     last.append(found[0])
-                    made.append(made[start] + found[1])
                     continue
                 start = max(0, end - tails.get(word[end - 2 : end], 1)) if end > 1 else end - 1
                 while start < end - 1:
@@ -140,17 +142,27 @@ class Encoder:
                             break
                     start += 1
                 else:
-                    start = end - 1
-                    found = known.get(word[start]) or self._spelled(word[start])
+                    found = known.get(word[end - 1]) or (word[end - 1],)
                 last.append(found[0])
-                made.append(made[start] + found[1])
             before = word
-            self.words[word] = made[len(word)]
-
-    def _spelled(self, char: str) -> tuple[str, bytes]:
-        """A character that is no piece, as its bytes."""
-        ids = [self.vocabulary.byte_ids[b] for b in char.encode()]
-        return char, np.array(ids, np.int32).tobytes()
+            self.words[word] = self._ids(last)
+            self.chars += len(word)
+
+    def _ids(self, last: list[str]) -> bytes:
+        """Ids of a word, from the last pieces of all its prefixes."""
+        known = self.vocabulary.pieces
+        made, end = [], len(last) - 1
+        while end:
+            piece = last[end]
+            found = known.get(piece)
+            made.append(self._spelled(piece) if found is None else found[1])
+            end -= len(piece)
+        made.reverse()
+        return b"".join(made)
+
+    def _spelled(self, char: str) -> bytes:
+        """Ids of a character that is no piece, from its bytes."""
+        return np.array([self.vocabulary.byte_ids[b] for b in char.encode()], np.int32).tobytes()
 
     def encode(self, texts: list[str | None]) -> list[np.ndarray | None]:
         """Ids of each text; None for None.  Few words are held at a time."""
@@ -179,8 +191,9 @@ class Encoder:
             out[i] = ids
 
     def _look_up(self, cut: list[list[str]]) -> list[np.ndarray]:
-        if len(self.words) > _CACHE_WORDS:
+        if len(self.words) > _CACHE_WORDS or self.chars > _CACHE_CHARS:
             self.words.clear()
+            self.chars = 0
         self.learn({w for words in cut for w in words if w not in self.words})
         look = self.words.__getitem__
         return [np.frombuffer(b"".join(map(look, words)), np.int32) for words in cut]

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import random
+import tracemalloc
 
 import pytest
 import sentencepiece
@@ -84,3 +85,29 @@ def test_long_texts_are_cut_in_parts(library, monkeypatch):
     assert [None if f is None else f.tolist() for f in found] == [
         None if t is None else library.encode(t) for t in texts
     ]
+
+
+def test_memory_is_linear_in_the_length_of_a_word(library):
+    rng = random.Random(2)
+    letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"
+    line = "".join(rng.choice(letters) for _ in range(200_000))
+    spelled = "".join(chr(rng.randrange(0x4E00, 0x9FA5)) for _ in range(20_000))
+    vocabulary = pieces.Vocabulary.load()
+    for text in (line, spelled):
+        for n in (2_000, len(text)):  # the short one first, as its prefixes took 8 MB or more before
+            encoder = pieces.Encoder(vocabulary)
+            tracemalloc.start()
+            (ids,) = encoder.encode([text[:n]])
+            peak = tracemalloc.get_traced_memory()[1]
+            tracemalloc.stop()
+            assert peak < 1_000_000 + 400 * n
+            assert ids.tolist() == library.encode(text[:n])
+
+
+def test_words_remembered_are_bounded_by_characters(library, monkeypatch):
+    monkeypatch.setattr(pieces, "_CACHE_CHARS", 100)
+    encoder = pieces.Encoder(pieces.Vocabulary.load())
+    for k in range(20):
+        (ids,) = encoder.encode([f"{k}" * 90])
+        assert ids.tolist() == library.encode(f"{k}" * 90)
+        assert sum(map(len, encoder.words)) < 400
