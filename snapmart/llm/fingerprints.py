@@ -3,7 +3,8 @@
 Terms are runs of anything but blanks, in lower case.  A term belongs to the
 lexicon when its inverse document frequency ln(N / df) lies in a chosen band,
 so the lexicon has at most exp(max_idf) terms for every distinct term of an
-average document, however large the corpus.  A document keeps its distinct
+average document, however large the corpus.  N and df count distinct texts, so
+that copies do not make their terms common.  A document keeps its distinct
 terms of the lexicon, sorted, and hashes them once for each of several random
 subsets of the lexicon.  Two documents are alike in a subset when the hashes
 agree; subsets that keep no term of either say nothing.
@@ -12,7 +13,9 @@ Two sizes of subsets are drawn: each keeps one in 64 terms of the lexicon, for
 ordinary documents, or one in 512, for long ones of which an edit would touch
 every larger subset.  Terms that no subset draws are left aside from the start.
 The likeness is the share of equal hashes in the smaller subsets if enough of
-them hold a term, else in the larger ones.
+them hold a term, else in the larger ones.  A text with more terms that are too
+common for the lexicon than terms in it (a near copy in a large group) is thin:
+it is hashed over all its drawn terms, and so is whatever it is compared with.
 
 Everything is DataFrame expressions; the lexicon is the only thing that is sent
 to all tasks, as one array that tests a term in one step.
@@ -66,13 +69,21 @@ def drawn(h: Column) -> Column:
 def lexicon(
     docs: DataFrame, text: str = "text", min_idf: float = MIN_IDF, max_idf: float = MAX_IDF
 ) -> DataFrame:
-    """Terms (``term``, ``df``) of the corpus in the idf band that some subset draws."""
-    found = docs.select(F.explode(terms(whole_text(text))).alias("term"))
-    counted = found.where(drawn(F.col("term"))).groupBy("term")
-    total = docs.agg(F.count(F.lit(1)).alias("n")).first()["n"]
+    """Drawn terms (``term``, ``df``, ``common``) in the idf band, or below it (common).
+
+    Each distinct text counts once.
+    """
+    body = whole_text(text)
+    once = docs.groupBy(F.md5(body).alias("_text")).agg(
+        F.first(F.filter(terms(body), drawn)).alias("_drawn")
+    )
+    counted = once.select(F.explode("_drawn").alias("term")).groupBy("term")
+    total = docs.agg(F.count_distinct(F.md5(body)).alias("n")).first()["n"]
     idf = F.log(F.lit(float(max(total, 1))) / F.col("df"))
-    return counted.agg(F.count(F.lit(1)).alias("df")).where(
-        (idf >= min_idf) & (idf <= max_idf)
+    return (
+        counted.agg(F.count(F.lit(1)).alias("df"))
+        .where(idf <= max_idf)
+        .select("term", "df", (idf < min_idf).alias("common"))
     )
 
 
@@ -136,31 +147,59 @@ def _subset_hashes(tagged: str, count: int) -> Column:
 
 
 def with_fingerprint(docs: DataFrame, lexicon_terms: DataFrame, text: str, out: str) -> DataFrame:
-    """Adds ``out``: the subset hashes of a text, as array<string>, larger subsets first.
+    """Adds ``out``: the subset hashes of a text, larger subsets first, on two bases.
 
-    A text without any term of the lexicon is hashed over all its drawn terms,
-    and one without those (a few words) over all its terms as its only subset.
-    One without terms (null, empty, only blanks) has empty subsets.
+    ``out.band`` (array<string>) is over terms of the lexicon, ``out.whole`` over
+    all drawn terms; ``out.thin`` says that the lexicon holds too few terms of the
+    text, none or fewer than are too common for it.  A text without drawn terms (a
+    few words) is hashed over all its terms as its only subset.  One without terms
+    (null, empty, only blanks) has empty subsets.
     """
     carried = docs.columns
     parts = docs.withColumn("_terms", terms(whole_text(text))).withColumn(
         "_drawn", F.filter("_terms", drawn)
     )
-    kept = parts.withColumn("_kept", F.filter("_drawn", _member_test(lexicon_terms))).withColumn(
-        "_kept", F.when(F.size("_kept") > 0, F.col("_kept")).otherwise(F.col("_drawn"))
+    in_band = _member_test(lexicon_terms.where("NOT common"))
+    too_common = _member_test(lexicon_terms.where("common"))
+    kept = parts.withColumn("_kept", F.filter("_drawn", in_band)).withColumn(
+        "_thin",
+        (F.size("_kept") == 0) | (F.size("_kept") < F.size(F.filter("_drawn", too_common))),
     )
-    tags = {f"_tags{i}": _tagged("_kept", i) for i in range(len(TIERS))}
-    tiers = [_subset_hashes(name, count) for name, (_, count) in zip(tags, TIERS, strict=True)]
+    tags = {
+        f"_tags{name}{i}": _tagged(name, i)
+        for name in ("_kept", "_drawn")
+        for i in range(len(TIERS))
+    }
     others = F.array_repeat(F.lit(EMPTY), sum(count for _, count in TIERS) - 1)
     alone = F.concat(F.array(_digits(F.sort_array("_terms"))), others)
+
+    def hashes(name: str) -> Column:
+        tiers = [_subset_hashes(f"_tags{name}{i}", count) for i, (_, count) in enumerate(TIERS)]
+        few = (F.size("_drawn") == 0) & (F.size("_terms") > 0)
+        return F.when(few, alone).otherwise(F.concat(*tiers))
+
     return kept.withColumns(tags).select(
         *carried,
-        F.when((F.size("_kept") == 0) & (F.size("_terms") > 0), alone)
-        .otherwise(F.concat(*tiers))
-        .alias(out),
+        F.struct(
+            hashes("_kept").alias("band"), hashes("_drawn").alias("whole"), F.col("_thin").alias("thin")
+        ).alias(out),
     )
 
 
+def fingerprint(column: str) -> Column:
+    """The subset hashes that stand for a text: over the lexicon unless that holds too little."""
+    return F.when(F.col(f"{column}.thin"), F.col(f"{column}.whole")).otherwise(
+        F.col(f"{column}.band")
+    )
+
+
+def common_likeness(left: str, right: str) -> Column:
+    """:func:`likeness` on one basis: all drawn terms of both if either text is thin."""
+    return F.when(
+        F.col(f"{left}.thin") | F.col(f"{right}.thin"), likeness(f"{left}.whole", f"{right}.whole")
+    ).otherwise(likeness(f"{left}.band", f"{right}.band"))
+
+
 def likeness(left: str, right: str) -> Column:
     """Share of equal subset hashes of two fingerprints, 0 to 1.
 
@@ -190,7 +229,7 @@ def likeness(left: str, right: str) -> Column:
     )
 
 
-def fingerprint_text(column: str) -> Column:
+def fingerprint_text(column: Column) -> Column:
     """A fingerprint as one string."""
     return F.array_join(column, "")
 
@@ -222,8 +261,8 @@ def edited_fingerprints(docs: DataFrame) -> DataFrame:
         "doc_id",
         "n_chars",
         F.sha2("edited", 256).alias("edited_sha256"),
-        fingerprint_text("own").alias("fingerprint"),
-        fingerprint_text("changed").alias("edited_fingerprint"),
-        likeness("own", "changed").alias("near_edited"),
-        likeness("own", "next_own").alias("near_next"),
+        fingerprint_text(fingerprint("own")).alias("fingerprint"),
+        fingerprint_text(fingerprint("changed")).alias("edited_fingerprint"),
+        common_likeness("own", "changed").alias("near_edited"),
+        common_likeness("own", "next_own").alias("near_next"),
     )

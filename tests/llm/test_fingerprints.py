@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import math
+import random
 from collections import Counter
 
 import xxhash
@@ -108,3 +109,28 @@ def test_equal_texts_have_equal_fingerprints(documents):
     docs = [(i, "same words in the same order here") for i in range(5)] + [(9, "other words"), (10, None)]
     got = compare(fp.edited_fingerprints(documents(docs)), docs)
     assert len({r[3] for r in got if r[0] < 5}) == 1 and len({r[3] for r in got}) == 3
+
+
+def _mostly_one_group(group):
+    """A third of all rows from one group, the others with terms of their own."""
+    rng = random.Random(3)
+    rest = [(1000 + i, " ".join(f"w{rng.randrange(4000)}" for _ in range(150))) for i in range(80)]
+    return group + rest
+
+
+def test_copies_do_not_make_their_terms_common(documents):
+    text = " ".join(f"copied{k}" for k in range(300))
+    docs = documents(_mostly_one_group([(i * 30 + 1, text) for i in range(40)]))
+    got = [r for r in fp.edited_fingerprints(docs).collect() if r["doc_id"] % 30 == 1 and r["doc_id"] < 1200]
+    assert len(got) >= 40 and min(r["near_edited"] for r in got if r["n_chars"] == len(text)) > 0
+    assert {r["near_next"] for r in got if r["doc_id"] <= 1000 and r["doc_id"] > 1} == {1.0}
+
+
+def test_near_copies_in_a_large_group_are_alike(documents):
+    words = [f"near{k}" for k in range(400)]
+    group = [(i, " ".join(words + [f"more{i}x{k}" for k in range(4)])) for i in range(40)]
+    rows = fp.edited_fingerprints(documents(_mostly_one_group(group))).collect()
+    near = [r["near_next"] for r in rows if 0 < r["doc_id"] < 40]
+    assert len(near) == 39 and sum(near) / len(near) > 0.7
+    # A third of the terms is gone: some subset without them is left for most texts.
+    assert sum(r["near_edited"] > 0 for r in rows if r["doc_id"] < 40) > 20
