@@ -1,6 +1,6 @@
 """Toxicity: a bidirectional gated recurrent network with attention pooling.
 
-A text is cut into overlapping windows of words, every word in at least one.
+Every window of 32 words of a text is scored, one from each word on.
 The input of a word joins a hashed word embedding and the mean of its hashed
 character trigram embeddings; a network runs over the window from both ends,
 attention weighs the states, and a linear layer gives the window's logit.  A
@@ -12,7 +12,9 @@ network above them is trained in numpy on a bounded, hash-ordered sample of
 labelled documents: one half counts the log odds, the other trains, so that the
 network does not learn to trust odds that its own documents have made.  A
 document's label says nothing about which window is toxic, so the gradient flows
-to its windows in proportion to their weight in a soft maximum.
+to its windows in proportion to their weight in a soft maximum.  Training looks
+at one window in 24, which overlap by 8 words; all windows of a training batch would
+not fit the driver.
 Scoring runs in tasks over all documents with the parameters as a broadcast
 value of fixed size.
 """
@@ -34,7 +36,8 @@ from pyspark.sql import types as T
 from snapmart.llm.texts import remainder
 
 WINDOW = 32
-STRIDE = 24
+STRIDE = 1
+TRAIN_STRIDE = 24
 WORD_ROWS = 1 << 12
 ODDS_ROWS = 1 << 20  # words are told apart more finely for their log odds
 GRAM_ROWS = 1 << 12
@@ -91,9 +94,9 @@ def embed(params: Params, features: tuple[np.ndarray, np.ndarray, np.ndarray]) -
     return np.concatenate([odds, params["words"][rows % WORD_ROWS], spelled], axis=1)
 
 
-def window_starts(n_words: int) -> range:
+def window_starts(n_words: int, stride: int = STRIDE) -> range:
     """Starts of the overlapping windows that cover a text; one even for an empty text."""
-    return range(0, max(1, n_words - (WINDOW - STRIDE)), STRIDE)
+    return range(0, max(1, n_words - (WINDOW - stride)), stride)
 
 
 def _sigmoid(x: np.ndarray) -> np.ndarray:
@@ -270,7 +273,8 @@ def _train_step(params: Params, moments, step: int, docs: list[list[bytes]], y:
     ids = [np.array([vocabulary.setdefault(w, len(vocabulary)) for w in d], np.int64) for d in docs]
     vectors = embed(params, word_features(vocabulary))
     projected = project(params, vectors)
-    windows, sizes, owner = _windows(ids)
+    flat, begin, sizes, owner = _windows(ids, TRAIN_STRIDE)
+    windows = _window_ids(flat, begin, sizes)
     logits, cache = window_logits(params, projected, windows, sizes, keep=True)
     top = np.full(len(docs), -np.inf)
     np.maximum.at(top, owner, logits)
@@ -288,17 +292,21 @@ def _train_step(params: Params, moments, step: int, docs: list[list[bytes]], y:
         ).astype(np.float32)
 
 
-def _windows(ids: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Word ids of all windows as (step, window), their sizes and their documents."""
-    starts = [window_starts(len(d)) for d in ids]
+def _windows(ids: list[np.ndarray], stride: int = STRIDE):
+    """Word ids of all texts in a row, and where all windows begin, their sizes and documents."""
+    starts = [window_starts(len(d), stride) for d in ids]
     owner = np.repeat(np.arange(len(ids)), [len(s) for s in starts])
     offset = np.cumsum([0, *[len(d) for d in ids]])
     begin = np.concatenate([np.array(s, np.int64) + o for s, o in zip(starts, offset, strict=False)])
     sizes = np.minimum(offset[owner + 1] - begin, WINDOW)
-    flat = np.concatenate([*ids, np.zeros(1, np.int64)])
+    return np.concatenate([*ids, np.zeros(1, np.int64)]), begin, sizes, owner
+
+
+def _window_ids(flat: np.ndarray, begin: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Word ids of windows as (step, window)."""
     at = begin[None, :] + np.arange(WINDOW)[:, None]
     inside = np.arange(WINDOW)[:, None] < sizes[None, :]
-    return np.where(inside, flat[np.minimum(at, len(flat) - 1)], 0), sizes, owner
+    return np.where(inside, flat[np.minimum(at, len(flat) - 1)], 0)
 
 
 @dataclass
@@ -345,11 +353,12 @@ class Scorer:
         number = self.vocabulary.__getitem__
         ids = [np.fromiter(map(number, d), np.int64, len(d)) for d in docs]
         self._learn()
-        windows, sizes, owner = _windows(ids)
+        flat, begin, sizes, owner = _windows(ids)
         top = np.full(len(docs), -np.inf)
         for low in range(0, len(owner), _BATCH_WINDOWS):
             part = slice(low, low + _BATCH_WINDOWS)
-            logits, _ = window_logits(self.params, self.projected, windows[:, part], sizes[part])
+            windows = _window_ids(flat, begin[part], sizes[part])
+            logits, _ = window_logits(self.params, self.projected, windows, sizes[part])
             np.maximum.at(top, owner[part], logits)
         return _sigmoid(top)
 

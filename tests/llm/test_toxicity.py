@@ -106,3 +106,12 @@ def test_clashing_columns(spark):
     labels = spark.createDataFrame([(1, 1), (2, 0)], "doc_id bigint, toxic int")
     kept = tox.keep_civil(docs, labels, reject_at=1.1)
     assert sorted(map(tuple, kept.collect())) == sorted(map(tuple, docs.collect()))
+
+
+def test_every_window_is_scored_wherever_a_passage_stands(params):
+    passage = b"you are a stupid idiot and worse such a stupid mess you are a stupid idiot and worse".split()
+    for before in range(40):
+        words = [b"calm"] * before + passage + [b"lovely"] * (70 - before)
+        found = tox.Scorer(params).scores([b" ".join(words)])[0]
+        parts = [b" ".join(words[s : s + tox.WINDOW]) for s in range(len(words) - tox.WINDOW + 1)]
+        assert found == pytest.approx(max(tox.Scorer(params).scores(parts)), abs=1e-5)
