@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from snapmart.llm import (
+    checks,
+    fill_in_middle,
     fingerprints,
     hidden_markov,
     importance,
@@ -104,6 +106,20 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Form, cuts and digests of every document's transformed and rebuilt text."""
+    made = fill_in_middle.transformed(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return fill_in_middle.restored(made).select(
+        "doc_id",
+        F.col("fim_tokens").alias("n"),
+        F.col("fim_form").alias("form"),
+        F.col("fim_prefix_chars").alias("prefix_chars"),
+        F.col("fim_middle_chars").alias("middle_chars"),
+        F.sha2("fim_output", 256).alias("output_sha256"),
+        F.sha2("fim_restored", 256).alias("restored_sha256"),
+    )
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
@@ -117,7 +133,8 @@ QUERIES: dict[str, Query] = {
         op8_quality_classifier,
         op9_pieces,
         op10_mixing,
+        op11_fill_in_middle,
     )
 }
-# The SQL of these has no twin for hashes, models or folds: see tests/llm for brute force.
-CHECKS: dict[str, str] = {}
+# The others use hashes, models or folds without a twin in SQL: see tests/llm for brute force.
+CHECKS: dict[str, str] = checks.CHECKS
