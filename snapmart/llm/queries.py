@@ -19,9 +19,11 @@ from snapmart.llm import (
     quality_rules,
     secrets,
     simhash,
+    token_counts,
     toxicity,
 )
 from snapmart.llm.tables import table
+from snapmart.llm.texts import whole_text
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -120,6 +122,16 @@ def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes and tokens of every document, and whether the tokens exceed the limit."""
+    docs = table(spark, sf_dir, "documents").select(
+        "doc_id", "text", F.octet_length(whole_text("text")).cast("bigint").alias("n_bytes")
+    )
+    return token_counts.token_counts(docs, carried=("doc_id", "n_bytes")).withColumn(
+        "over_limit", F.col("n_tokens") > token_counts.LIMIT
+    )
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
@@ -134,6 +146,7 @@ QUERIES: dict[str, Query] = {
         op9_pieces,
         op10_mixing,
         op11_fill_in_middle,
+        op13_token_counts,
     )
 }
 # The others use hashes, models or folds without a twin in SQL: see tests/llm for brute force.
