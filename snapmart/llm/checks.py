@@ -45,4 +45,84 @@ SELECT doc_id, n::BIGINT AS n, form,
 FROM parts
 """
 
-CHECKS: dict[str, str] = {"op11_fill_in_middle": FILL_IN_MIDDLE}
+
+
+def _field(value: str) -> str:
+    return f"CASE WHEN {value} IS NULL THEN '-' ELSE strlen({value}::VARCHAR) || ':' || {value}::VARCHAR END"
+
+
+def _leaf(n_chars: str) -> str:
+    return f"sha256({' || '.join(map(_field, ('doc_id', 'source', 'lang', n_chars, 'text')))})"
+
+
+# CRC-32 of the decimal doc_id, bit by bit.
+_CRC = (
+    "xor(list_reduce(list_prepend(4294967295::BIGINT,"
+    " list_transform(string_split(doc_id::VARCHAR, ''), lambda c: ascii(c)::BIGINT)), lambda r, b:"
+    " list_reduce([xor(r, b), 0, 0, 0, 0, 0, 0, 0, 0], lambda x, z:"
+    " xor(x >> 1, CASE WHEN x & 1 = 1 THEN 3988292384::BIGINT ELSE 0 END))), 4294967295)"
+)
+
+
+def _tree(name: str, leaves: str) -> str:
+    """All nodes of the trees over rows of (g, pos, digest, n); n nodes at the level."""
+    return f"""{name}(g, level, pos, digest, n) AS (
+    SELECT g, 0, pos, digest, n FROM {leaves}
+    UNION ALL
+    SELECT g, level + 1, pos // 2, sha256(string_agg(digest, '' ORDER BY pos)), (n + 1) // 2
+    FROM {name} WHERE n > 1 GROUP BY g, level, pos // 2, n
+)"""
+
+
+MERKLE_MANIFEST = f"""
+WITH RECURSIVE hashed AS (
+    SELECT doc_id, coalesce('+' || lang, '') AS g, {_leaf("n_chars")} AS digest,
+           CASE WHEN n_chars IS NOT NULL AND {_CRC} % 7 = 0 THEN {_leaf("(n_chars + 1)")} END AS changed
+    FROM documents
+),
+leaves AS (
+    SELECT *, row_number() OVER (ORDER BY g, doc_id NULLS FIRST, digest) AS id,
+           row_number() OVER (PARTITION BY g ORDER BY doc_id NULLS FIRST, digest) - 1 AS pos,
+           count(*) OVER (PARTITION BY g) AS n
+    FROM hashed
+),
+{_tree("low", "leaves")},
+subroots AS (
+    SELECT '' AS g, g AS sub, digest, level AS height,
+           row_number() OVER (ORDER BY g) - 1 AS pos, count(*) OVER () AS n
+    FROM low WHERE n = 1
+),
+{_tree("high", "subroots")},
+steps AS (
+    SELECT l.id, o.level AS k, (l.pos >> o.level) % 2 AS place, s.digest AS other
+    FROM leaves l JOIN low o ON o.g = l.g AND o.pos = l.pos >> o.level AND o.n > 1
+    LEFT JOIN low s ON s.g = l.g AND s.level = o.level AND s.pos = xor(l.pos >> o.level, 1)
+    UNION ALL
+    SELECT l.id, r.height + o.level, (r.pos >> o.level) % 2, s.digest
+    FROM leaves l JOIN subroots r ON r.sub = l.g
+    JOIN high o ON o.pos = r.pos >> o.level AND o.n > 1
+    LEFT JOIN high s ON s.level = o.level AND s.pos = xor(r.pos >> o.level, 1)
+),
+folds(id, k, node) AS (
+    SELECT id, 0, coalesce(changed, digest) FROM leaves
+    UNION ALL
+    SELECT f.id, f.k + 1, sha256(CASE WHEN s.other IS NULL THEN node
+                                      WHEN s.place = 1 THEN s.other || node ELSE node || s.other END)
+    FROM folds f JOIN steps s ON s.id = f.id AND s.k = f.k
+),
+proofs AS (
+    SELECT id, coalesce(string_agg(other, '' ORDER BY k), '') AS proof FROM steps GROUP BY id
+)
+SELECT l.doc_id, l.digest AS leaf, r.digest AS subroot, t.digest AS root,
+       sha256(coalesce(p.proof, '')) AS proof_sha256, f.folded_root,
+       f.folded_root = t.digest AS verified
+FROM leaves l JOIN subroots r ON r.sub = l.g
+JOIN (SELECT digest FROM high WHERE n = 1) t ON true
+LEFT JOIN proofs p ON p.id = l.id
+JOIN (SELECT id, arg_max(node, k) AS folded_root FROM folds GROUP BY id) f ON f.id = l.id
+"""
+
+CHECKS: dict[str, str] = {
+    "op11_fill_in_middle": FILL_IN_MIDDLE,
+    "op12_merkle_manifest": MERKLE_MANIFEST,
+}

@@ -14,6 +14,7 @@ from snapmart.llm import (
     hidden_markov,
     importance,
     line_dedup,
+    merkle,
     mixing,
     pieces,
     quality_rules,
@@ -122,6 +123,21 @@ def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Proof of every document against the manifest, and whether a tampered one passes."""
+    tampered = F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(7)) == 0
+    made = merkle.verified_documents(table(spark, sf_dir, "documents"), tampered)
+    return made.select(
+        "doc_id",
+        "leaf",
+        "subroot",
+        "root",
+        F.sha2(F.array_join(F.flatten("proof.others"), ""), 256).alias("proof_sha256"),
+        "folded_root",
+        (F.col("folded_root") == F.col("root")).alias("verified"),
+    )
+
+
 def op13_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bytes and tokens of every document, and whether the tokens exceed the limit."""
     docs = table(spark, sf_dir, "documents").select(
@@ -146,6 +162,7 @@ QUERIES: dict[str, Query] = {
         op9_pieces,
         op10_mixing,
         op11_fill_in_middle,
+        op12_merkle_manifest,
         op13_token_counts,
     )
 }

@@ -22,6 +22,7 @@ COLUMNS = {
     "op9_pieces": "doc_id n_ids ids decoded_sha256 round_trip",
     "op10_mixing": "doc_id source mix_weight mix_epoch mix_block mix_order",
     "op11_fill_in_middle": "doc_id n form prefix_chars middle_chars output_sha256 restored_sha256",
+    "op12_merkle_manifest": "doc_id leaf subroot root proof_sha256 folded_root verified",
     "op13_token_counts": "doc_id n_bytes n_tokens over_limit",
     "pipeline": "doc_id text lang source n_chars ids round_trip",
 }
