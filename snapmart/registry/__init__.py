@@ -29,6 +29,7 @@ def load_all() -> None:
     from snapmart.registry import (  # noqa: F401
         cleaning,
         decoding,
+        dictionaries,
         flattening,
         merging,
         observing,

@@ -9,7 +9,7 @@ from snapmart.operators.merge import MergePolicy
 from snapmart.plans import products
 from snapmart.registry import CHECKS, bodies, registered, views
 from snapmart.registry import flattening as _flattening  # noqa: F401  (its SQL is reused)
-from snapmart.streaming import jobs
+from snapmart.streaming import jobs, requests
 from snapmart.workspace import new_folder
 
 
@@ -208,3 +208,59 @@ def stream_dedup_batches(spark, sf_dir):
     query = jobs.start_first_seen(stream, ["user_id", "event_type"], ["seq"], root, checkpoint)
     query.awaitTermination()
     return jobs.read_first_seen(spark, root, stream.schema)
+
+
+# A response may come so long after its request; rows land out of order within the delay.
+WITHIN, DELAY, CLOSED_AT = "120 MINUTES", "60 days", "9999-01-01 00:00:00"
+REQUESTS_LANDED, RESPONSES_LANDED = (2, 0, 3, 1), (3, 1, 0, 2)
+
+
+def _asked_and_answered(spark, sf_dir):
+    """Requests (one in ten events made none) and responses up to 149 minutes later."""
+    rows = views.load(spark, sf_dir, "events").withColumn("at", times.as_utc_instant(F.col("ts")))
+    asked = rows.where("event_id % 10 <> 3").select(
+        "event_id", F.col("event_type").alias("category"), F.col("at").alias("asked_at")
+    )
+    minutes = F.make_dt_interval(mins=F.pmod(F.col("user_id"), F.lit(150)).cast("int"))
+    given = rows.select("event_id", F.col("value").alias("item"), (F.col("at") + minutes).alias("arrived_at"))
+    return asked, given
+
+
+def _landed_in_order(spark, frame, moment, order, label):
+    """A stream over files that land part by part in the given order, then closing rows."""
+    path = new_folder(spark, label)
+    for part in order:
+        of_part = frame.where(F.pmod("event_id", F.lit(len(order))) == part)
+        of_part.coalesce(1).write.mode("append").parquet(path)
+    closing = requests.closing_rows(frame, "event_id", moment, CLOSED_AT)
+    for _ in range(2):
+        closing.coalesce(1).write.mode("append").parquet(path)
+    return jobs.read_landed(spark, path, frame.schema, files_per_trigger=1)
+
+
+@registered(
+    "late_responses",
+    """
+SELECT event_id, value AS item, CASE WHEN ok THEN event_type END AS category,
+       CASE WHEN ok THEN 'matched' ELSE 'orphan' END AS status
+FROM (SELECT *, event_id % 10 <> 3 AND user_id % 150 <= 120 AS ok FROM events)""",
+)
+def late_responses(spark, sf_dir):
+    """Responses with the category of their own request, and those without a request."""
+    asked, given = _asked_and_answered(spark, sf_dir)
+    joined = requests.answered(
+        _landed_in_order(spark, asked, "asked_at", REQUESTS_LANDED, "landed-requests"),
+        _landed_in_order(spark, given, "arrived_at", RESPONSES_LANDED, "landed-responses"),
+        "event_id",
+        "asked_at",
+        "arrived_at",
+        WITHIN,
+        DELAY,
+    )
+    matched, orphans = new_folder(spark, "matched"), new_folder(spark, "orphans")
+    checkpoint = new_folder(spark, "checkpoint")
+    requests.finished(
+        requests.start_answered(joined, matched, orphans, checkpoint, "arrived_at", CLOSED_AT)
+    )
+    written = [requests.read_written(spark, joined.schema, root) for root in (matched, orphans)]
+    return written[0].union(written[1]).select("event_id", "item", "category", "status")
