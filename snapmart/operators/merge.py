@@ -22,6 +22,7 @@ from snapmart import settings
 from snapmart.functions.texts import is_blank
 from snapmart.operators.filters import drop_without_key
 from snapmart.operators.sizing import fits_broadcast
+from snapmart.sources import buckets
 from snapmart.sources.tables import has_key
 from snapmart.workspace import new_folder
 
@@ -138,6 +139,41 @@ def merge_small_batch(
     return met.unionByName(fresh.select(*policy.columns, F.lit(INSERTED).alias(STATUS)))
 
 
+def merge_buckets(
+    batch: DataFrame,
+    policy: MergePolicy,
+    seq: Sequence[str],
+    root: str,
+    version: int,
+    n_buckets: int = buckets.BUCKETS,
+) -> buckets.Manifest:
+    """Merge a batch into a master in buckets, as a new version; others stay as they are.
+
+    The batch is reduced into a written table, and only buckets that hold one of
+    its keys are read and written.  A batch without keys makes a version that
+    shares all files.
+    """
+    spark, key = batch.sparkSession, policy.key
+    base = buckets.latest_manifest(spark, root, version - 1) or buckets.Manifest(-1, n_buckets)
+    shape = reduce_batch(batch, policy, seq)
+    folder = new_folder(spark, "reduced-batch")
+    shape.write.parquet(folder)
+    reduced = spark.read.schema(shape.schema).parquet(folder)
+    hit = buckets.buckets_hit(reduced, [key], base.buckets)
+    old = buckets.read_parts(spark, root, base.of(hit), shape.schema)
+    merged = merge_reduced(old, reduced, policy).drop(STATUS)
+    return buckets.replace_buckets(merged, root, [key], base, hit, version)
+
+
+def read_buckets(
+    spark: SparkSession, policy: MergePolicy, like: DataFrame, root: str, at_most: int | None = None
+) -> DataFrame:
+    """The newest version of a master in buckets; ``like`` is any batch of it."""
+    schema = reduce_batch(like, policy, [policy.key]).schema
+    found = buckets.latest_manifest(spark, root, at_most)
+    return buckets.read_parts(spark, root, found.parts if found else (), schema)
+
+
 def merge_counters(
     merged: DataFrame, batch: DataFrame, policy: MergePolicy, bad: DataFrame | None = None
 ) -> DataFrame:

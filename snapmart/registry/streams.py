@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from snapmart.functions import times
-from snapmart.operators.merge import MergePolicy
+from snapmart.operators.merge import MergePolicy, read_buckets
 from snapmart.plans import products
 from snapmart.registry import CHECKS, bodies, registered, views
 from snapmart.registry import flattening as _flattening  # noqa: F401  (its SQL is reused)
@@ -192,6 +192,19 @@ def stream_merge_folded(spark, sf_dir):
     return _merged_parts(spark, sf_dir, 3)
 
 
+@registered("stream_merge_buckets", _PARTS_SQL)
+def stream_merge_buckets(spark, sf_dir):
+    """The same batches into a master in buckets, of which a batch rewrites those it hits."""
+    history, master = new_folder(spark, "history"), new_folder(spark, "master")
+    stream = _landed_parts(spark, sf_dir)
+    jobs.start_bucketed_merge(
+        stream, STREAM_POLICY, ["seq"], history, master, new_folder(spark, "checkpoint"), 16
+    ).awaitTermination()
+    like = spark.createDataFrame([], stream.schema)
+    folded = read_buckets(spark, STREAM_POLICY, like, master)
+    return folded.withColumn("types", F.array_join("types", ","))
+
+
 @registered(
     "stream_dedup_batches",
     f"""

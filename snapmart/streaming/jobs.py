@@ -8,6 +8,8 @@ is the truth, a master version is a fold of it.
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,11 +20,12 @@ from snapmart.operators.dedup import keep_first
 from snapmart.operators.merge import (
     STATUS,
     MergePolicy,
+    merge_buckets,
     merge_small_batch,
     reduce_batch,
 )
 from snapmart.operators.sizing import fits_broadcast
-from snapmart.sources import tables
+from snapmart.sources import buckets, tables
 
 BATCH = "batch_id"
 
@@ -77,32 +80,54 @@ def _batches(spark: SparkSession, root: str, schema: T.StructType) -> DataFrame:
 
 
 def start_first_seen(
-    stream: DataFrame, ids: Sequence[str], order: Sequence[str], root: str, checkpoint: str
+    stream: DataFrame,
+    ids: Sequence[str],
+    order: Sequence[str],
+    root: str,
+    checkpoint: str,
+    n_buckets: int = buckets.BUCKETS,
 ) -> StreamingQuery:
     """Write each id's first row, by order within a batch and by batch across them.
 
-    The accepted rows are the memory of what was seen: no watermark, no id is
-    ever forgotten.  A micro-batch is cut to one row per id before it meets the
-    accepted ids; if its ids are measured to be few, only they are looked up.
+    No watermark, no id is ever forgotten.  A micro-batch is cut to one row per
+    id, and meets the known ids of the buckets that it hits only; these have a
+    bounded number of files however many batches there were.  If the batch's
+    ids are measured to be few, only they are looked up there.
     """
     keys = list(ids)
+    known_root = f"{root}/_known"
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        # Used twice below; a lost part of it is computed again.
+        # Not the version of this very batch: a replay looks at what was known before.
+        base = buckets.latest_manifest(spark, known_root, batch_id - 1)
+        base = base or buckets.Manifest(-1, n_buckets)
+        # Used several times below; a lost part of it is computed again.
         first = keep_first(batch, keys, order).persist()
-        seen = _batches(spark, root, batch.schema)
-        seen = seen.where(F.col(BATCH) < batch_id).select(*keys)
-        wanted = first.select(*keys)
-        if fits_broadcast(wanted):
-            seen = seen.join(F.broadcast(wanted), keys, "left_semi")
-        fresh = first.join(seen, keys, "left_anti").select(*batch.columns)
-        tables.write_history_batch(fresh, root, batch_id)
-        first.unpersist()
+        try:
+            wanted = first.select(*keys)
+            hit = base.of(buckets.buckets_hit(wanted, keys, base.buckets)) if base.parts else []
+            seen = buckets.read_parts(spark, known_root, hit, wanted.schema)
+            if hit and fits_broadcast(wanted):
+                seen = _among(seen, F.broadcast(wanted), keys, "left_semi")
+            fresh = _among(first, seen, keys, "left_anti").select(*batch.columns)
+            tables.write_history_batch(fresh, root, batch_id)
+            # What was written, not what would be computed, is what is known from now on.
+            accepted = spark.read.schema(batch.schema).parquet(f"{root}/{BATCH}={batch_id}")
+            buckets.add_rows(accepted.select(*keys), known_root, keys, base, batch_id)
+        finally:
+            first.unpersist()
 
     return run_available(stream, checkpoint, handle)
 
 
+def _among(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
+    """A semi or anti join in which nulls equal each other, as they do for keep-first."""
+    right = right.select(*(F.col(k).alias(f"_r_{k}") for k in keys))
+    same = reduce(and_, (F.col(k).eqNullSafe(F.col(f"_r_{k}")) for k in keys))
+    return left.join(right, same, how)
+
+
 def read_first_seen(spark: SparkSession, root: str, schema: T.StructType) -> DataFrame:
     """The rows accepted so far."""
     return _batches(spark, root, schema).drop(BATCH)
@@ -175,3 +200,25 @@ def start_merge(
             tables.write_version(folded, master, batch_id)
 
     return run_available(stream, checkpoint, handle)
+
+
+def start_bucketed_merge(
+    stream: DataFrame,
+    policy: MergePolicy,
+    seq: Sequence[str],
+    history: str,
+    master: str,
+    checkpoint: str,
+    n_buckets: int = buckets.BUCKETS,
+    moment: str | None = None,
+) -> StreamingQuery:
+    """:func:`start_merge` over a master in buckets: a batch rewrites those it has keys of.
+
+    A replayed batch is merged into the version before it once more.
+    """
+
+    def handle(batch: DataFrame, batch_id: int) -> None:
+        tables.write_history_batch(batch, history, batch_id, moment)
+        merge_buckets(batch, policy, seq, master, batch_id, n_buckets)
+
+    return run_available(stream, checkpoint, handle)
