@@ -25,6 +25,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -45,6 +46,7 @@ LEAST = 10  # tokens that a symbol of its own needs in any corpus
 END = b" "  # no word has a blank
 _BATCH_BLOCKS = 4096
 _HELD_WORDS = 200_000
+_SLICE_BYTES = 1 << 20
 
 _NUMBERS = [f"s{k}" for k in range(STATES)]
 
@@ -61,6 +63,25 @@ def rare_class(token: bytes) -> int:
     return zlib.crc32(token[-SUFFIX_BYTES:]) % RARE_CLASSES
 
 
+def _slices(batches: Iterator[pa.RecordBatch], column: int) -> Iterator[pa.RecordBatch]:
+    """Rows of batches with about ``_SLICE_BYTES`` of a text or list column at a time.
+
+    What a task makes of the rows is held for one slice only.
+    """
+    for batch in batches:
+        values = batch.column(column)
+        if pa.types.is_list(values.type):
+            sizes = 4 * np.diff(values.offsets.to_numpy(zero_copy_only=False)).astype(np.int64)
+        else:
+            sizes = pc.fill_null(pc.binary_length(values), 0).to_numpy(zero_copy_only=False)
+        ends, low = np.cumsum(sizes), 0
+        while low < batch.num_rows:
+            before = ends[low - 1] if low else 0
+            high = max(low + 1, int(np.searchsorted(ends, before + _SLICE_BYTES, side="right")))
+            yield batch.slice(low, high - low)
+            low = high
+
+
 def token_counts(docs: DataFrame) -> DataFrame:
     """``token``, ``class`` and ``c`` of every distinct token of the texts."""
 
@@ -178,7 +199,7 @@ def encoded(docs: DataFrame, lexicon: Broadcast) -> DataFrame:
         logs = np.log10((known.counts + 1) / known.base_divisor)
         symbol = known.symbols.get
         struct = pa.struct([("token", pa.binary()), ("class", pa.int32()), ("tf", pa.int32())])
-        for batch in batches:
+        for batch in _slices(batches, 2):
             ids, base, known_n, rare = [], [], [], []
             for text in batch.column(2).cast(pa.binary()):
                 own = tokens(text.as_py())
@@ -295,7 +316,7 @@ def expected_counts(symbols: DataFrame, model: Model) -> tuple[dict[str, np.ndar
         own = shared.value
         emit, moves = np.zeros((size, STATES)), np.zeros((STATES, STATES))
         start, log_likelihood = np.zeros(STATES), 0.0
-        for batch in batches:
+        for batch in _slices(batches, 0):
             for blocks, sizes, first in _blocks(batch.column(0)):
                 e, m, s, ll = block_counts(own, blocks, sizes, first)
                 emit += e
@@ -369,7 +390,7 @@ def forward_scores(rows: DataFrame, model: Model) -> DataFrame:
     shared = rows.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _slices(batches, 1):
             found = log_likelihoods(shared.value, batch.column(1)) / np.log(10)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found)], ["row", "forward"])
 
