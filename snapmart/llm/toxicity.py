@@ -1,6 +1,6 @@
 """Toxicity: a bidirectional gated recurrent network with attention pooling.
 
-Every window of 32 words of a text is scored, one from each word on.
+Every window of 24 words of a text is scored, one from each word on.
 The input of a word joins a hashed word embedding and the mean of its hashed
 character trigram embeddings; a network runs over the window from both ends,
 attention weighs the states, and a linear layer gives the window's logit.  A
@@ -12,9 +12,9 @@ network above them is trained in numpy on a bounded, hash-ordered sample of
 labelled documents: one half counts the log odds, the other trains, so that the
 network does not learn to trust odds that its own documents have made.  A
 document's label says nothing about which window is toxic, so the gradient flows
-to its windows in proportion to their weight in a soft maximum.  Training looks
-at one window in 24, which overlap by 8 words; all windows of a training batch would
-not fit the driver.
+to its windows in proportion to their weight in a soft maximum.  A training step
+looks at windows 12 words apart; where they begin is drawn anew for each text and
+round, so that all windows take part in training.
 Scoring runs in tasks over all documents with the parameters as a broadcast
 value of fixed size.
 """
@@ -35,27 +35,30 @@ from pyspark.sql import types as T
 
 from snapmart.llm.texts import remainder
 
-WINDOW = 32
+WINDOW = 24
 STRIDE = 1
-TRAIN_STRIDE = 24
+TRAIN_STRIDE = 12
 WORD_ROWS = 1 << 12
 ODDS_ROWS = 1 << 20  # words are told apart more finely for their log odds
 GRAM_ROWS = 1 << 12
 WIDTH = 8  # of each embedding
 HIDDEN = 8  # of each direction
 ATTENTION = 8
-# Bounds of the training sample: documents, and characters of one document.
+# Bounds of the training sample: documents, and characters of one document (of a longer
+# one, so many from a place drawn by the hash of its id).
 TRAIN_DOCS = 5000
-TRAIN_CHARS = 100_000
-EPOCHS = 6
+TRAIN_CHARS = 20_000
+EPOCHS = 8
 BATCH_DOCS = 16
 RATE = 0.01
 # Documents that a word's log odds are shrunk by.
 SHRINK = 10.0
+# Gates are straight lines of this slope between 0 and 1, candidate states between -1 and 1.
+SLOPE = np.float32(0.25)
 REJECT_AT = 0.7
 HELD_OUT = (3, 1)  # divisor and remainder of crc32(doc_id)
 # Windows scored together, words encoded together, words remembered by a task.
-_BATCH_WINDOWS = 2048
+_BATCH_WINDOWS = 4096
 _BATCH_WORDS = 200_000
 _CACHE_WORDS = 150_000
 _EDGE = b".,;:!?\"'()[]{}*#$%&|<>"
@@ -114,9 +117,9 @@ def _recur(rows, ids, sizes, weights, bias, keep: bool):
         last = states[t]
         inputs = rows[ids[t]]
         gates = last @ weights
-        zr = _sigmoid(inputs[:, : 2 * h] + gates[:, : 2 * h])
+        zr = np.clip(SLOPE * (inputs[:, : 2 * h] + gates[:, : 2 * h]) + 0.5, 0, 1)
         inner = gates[:, 2 * h :] + bias
-        new = np.tanh(inputs[:, 2 * h :] + zr[:, h:] * inner)
+        new = np.clip(inputs[:, 2 * h :] + zr[:, h:] * inner, -1, 1)
         state = new + zr[:, :h] * (last - new)
         if not full:
             state = np.where((t < sizes)[:, None], state, last)
@@ -138,10 +141,10 @@ def _recur_back(grads, states, cache, sizes, weights):
         on = (t < sizes)[:, None]
         total = grads[t] + carry
         d_state = np.where(on, total, 0)
-        d_new = d_state * (1 - z) * (1 - new * new)
+        d_new = d_state * (1 - z) * (np.abs(new) < 1)
         d_inner = d_new * r
-        d_z = d_state * (last - new) * z * (1 - z)
-        d_r = d_new * inner * r * (1 - r)
+        d_z = d_state * (last - new) * SLOPE * ((z > 0) & (z < 1))
+        d_r = d_new * inner * SLOPE * ((r > 0) & (r < 1))
         d_inputs[t] = np.concatenate([d_z, d_r, d_new], axis=1)
         d_gates = np.concatenate([d_z, d_r, d_inner], axis=1)
         d_weights += last.T @ d_gates
@@ -184,6 +187,74 @@ def window_logits(params: Params, projected, ids: np.ndarray, sizes: np.ndarray,
     return logits, (turn, lanes, ahead, cache_a, back, cache_b, states, hidden, weight, pooled)
 
 
+def _step(weights, bias, inputs, last, gates, out) -> None:
+    """One recurrent step of many windows, features first; z and r come sloped and raised."""
+    h = HIDDEN
+    np.matmul(weights, last, out=gates)
+    zr, new = gates[: 2 * h], gates[2 * h :]
+    zr += inputs[: 2 * h]
+    np.clip(zr, 0, 1, out=zr)
+    new += bias
+    new *= zr[h:]
+    new += inputs[2 * h :]
+    np.clip(new, -1, 1, out=new)
+    np.subtract(last, new, out=out)
+    out *= zr[:h]
+    out += new
+
+
+def highest_logits(params: Params, projected, ids: list[np.ndarray]) -> np.ndarray:
+    """The highest logit of all windows of each text, for texts of ``WINDOW`` words or more.
+
+    One window starts at every word, so the inputs of a step of consecutive
+    windows are consecutive words: nothing is gathered for each window.  Sums
+    for the attention run along with the second direction.
+    """
+    h, flat = HIDDEN, np.concatenate(ids)
+    lengths = np.array([len(d) for d in ids])
+    sloped = np.repeat(np.array([SLOPE, SLOPE, 1], np.float32), h)
+    raised = np.repeat(np.array([0.5, 0.5, 0], np.float32), h)
+    ahead, back = (np.ascontiguousarray((params[u] * sloped).T) for u in ("u_a", "u_b"))
+    bias_a, bias_b = params["c_a"][:, None], params["c_b"][:, None]
+    # The last row gives a state's part of the logit.
+    seen = np.concatenate([params["att_w"], params["out_w"][:, None]], axis=1).T.astype(np.float32)
+    seen_a, seen_b = np.ascontiguousarray(seen[:, :h]), np.ascontiguousarray(seen[:, h:])
+    out = np.empty(len(flat) - WINDOW + 1, np.float32)
+    for low in range(0, len(out), _BATCH_WINDOWS):
+        count = min(_BATCH_WINDOWS, len(out) - low)
+        words = flat[low : low + count + WINDOW - 1]
+        in_a, in_b = (
+            np.ascontiguousarray((rows[words] * sloped + raised).T) for rows in projected
+        )
+        states = np.zeros((WINDOW + 1, h, count), np.float32)
+        gates = np.empty((3 * h, count), np.float32)
+        for k in range(WINDOW):
+            _step(ahead, bias_a, in_a[:, k : k + count], states[k], gates, states[k + 1])
+        last, state = np.zeros((2, h, count), np.float32)
+        top, total = np.zeros((2, count), np.float32)
+        part, other = np.empty((2, ATTENTION + 1, count), np.float32)
+        for k in range(WINDOW - 1, -1, -1):
+            _step(back, bias_b, in_b[:, k : k + count], last, gates, state)
+            last, state = state, last
+            np.matmul(seen_a, states[k + 1], out=part)
+            np.matmul(seen_b, last, out=other)
+            part += other
+            hidden = part[:ATTENTION]
+            hidden += params["att_b"][:, None]
+            np.tanh(hidden, out=hidden)
+            # At most the sum of the weights' sizes, so no maximum is needed.
+            weight = np.exp(params["att_v"] @ hidden)
+            total += weight
+            weight *= part[ATTENTION]
+            top += weight
+        out[low : low + count] = top / total + params["out_b"][0]
+    ends = np.cumsum(lengths)
+    # Windows that reach into the next text do not count.
+    for end in ends[:-1].tolist():
+        out[end - WINDOW + 1 : end] = -np.inf
+    return np.maximum.reduceat(out, ends - lengths)
+
+
 def _gradients(params, vectors, ids, sizes, d_logits, cache):
     """Gradients of all trained parameters for given gradients of the window logits."""
     turn, lanes, ahead, cache_a, back, cache_b, states, hidden, weight, pooled = cache
@@ -264,16 +335,25 @@ def train(texts: list[bytes], labels: list[int], seed: int = 1) -> Params | None
         for low in range(0, len(order), BATCH_DOCS):
             step += 1
             part = order[low : low + BATCH_DOCS]
-            _train_step(params, moments, step, [docs[i] for i in part], y[part])
+            _train_step(params, moments, step, [docs[i] for i in part], y[part], rng)
     return params
 
 
-def _train_step(params: Params, moments, step: int, docs: list[list[bytes]], y: np.ndarray) -> None:
+def _training_starts(n_words: int, shift: int) -> np.ndarray:
+    """Starts of windows that cover a text, ``TRAIN_STRIDE`` apart and shifted."""
+    last = max(0, n_words - WINDOW)
+    return np.unique(np.clip(np.arange(-shift, last + TRAIN_STRIDE, TRAIN_STRIDE), 0, last))
+
+
+def _train_step(
+    params: Params, moments, step: int, docs: list[list[bytes]], y: np.ndarray, rng: np.random.Generator
+) -> None:
     vocabulary: dict[bytes, int] = {b"": 0}
     ids = [np.array([vocabulary.setdefault(w, len(vocabulary)) for w in d], np.int64) for d in docs]
     vectors = embed(params, word_features(vocabulary))
     projected = project(params, vectors)
-    flat, begin, sizes, owner = _windows(ids, TRAIN_STRIDE)
+    starts = [_training_starts(len(d), int(rng.integers(TRAIN_STRIDE))) for d in ids]
+    flat, begin, sizes, owner = _windows(ids, starts)
     windows = _window_ids(flat, begin, sizes)
     logits, cache = window_logits(params, projected, windows, sizes, keep=True)
     top = np.full(len(docs), -np.inf)
@@ -292,9 +372,8 @@ def _train_step(params: Params, moments, step: int, docs: list[list[bytes]], y:
         ).astype(np.float32)
 
 
-def _windows(ids: list[np.ndarray], stride: int = STRIDE):
+def _windows(ids: list[np.ndarray], starts: list):
     """Word ids of all texts in a row, and where all windows begin, their sizes and documents."""
-    starts = [window_starts(len(d), stride) for d in ids]
     owner = np.repeat(np.arange(len(ids)), [len(s) for s in starts])
     offset = np.cumsum([0, *[len(d) for d in ids]])
     begin = np.concatenate([np.array(s, np.int64) + o for s, o in zip(starts, offset, strict=False)])
@@ -353,13 +432,17 @@ class Scorer:
         number = self.vocabulary.__getitem__
         ids = [np.fromiter(map(number, d), np.int64, len(d)) for d in docs]
         self._learn()
-        flat, begin, sizes, owner = _windows(ids)
-        top = np.full(len(docs), -np.inf)
-        for low in range(0, len(owner), _BATCH_WINDOWS):
-            part = slice(low, low + _BATCH_WINDOWS)
-            windows = _window_ids(flat, begin[part], sizes[part])
-            logits, _ = window_logits(self.params, self.projected, windows, sizes[part])
-            np.maximum.at(top, owner[part], logits)
+        top = np.empty(len(docs))
+        long = np.array([len(d) >= WINDOW for d in ids])
+        if long.any():
+            top[long] = highest_logits(self.params, self.projected, [d for d in ids if len(d) >= WINDOW])
+        short = [d for d in ids if len(d) < WINDOW]
+        for low in range(0, len(short), _BATCH_WINDOWS):
+            part = short[low : low + _BATCH_WINDOWS]
+            flat, begin, sizes, _ = _windows(part, [window_starts(len(d)) for d in part])
+            windows = _window_ids(flat, begin, sizes)
+            logits, _ = window_logits(self.params, self.projected, windows, sizes)
+            top[np.flatnonzero(~long)[low : low + _BATCH_WINDOWS]] = logits
         return _sigmoid(top)
 
 
@@ -369,8 +452,8 @@ def labelled_sample(
     """Texts and labels of at most ``limit`` documents outside the held-out fold.
 
     The sample is the first in the order of a hash of the id, so it does not
-    depend on how rows are stored.  Texts over ``TRAIN_CHARS`` characters are
-    no training examples (they are scored like all others).
+    depend on how rows are stored.  Texts over ``TRAIN_CHARS`` characters give an
+    excerpt for training (they are scored whole, like all others).
     """
     divisor, held = HELD_OUT
     chosen = (
@@ -381,9 +464,11 @@ def labelled_sample(
         .orderBy(F.xxhash64("doc_id"), "doc_id")
         .limit(limit)
     )
+    spare = F.greatest(F.length("text") - TRAIN_CHARS, F.lit(0))
+    begin = 1 + F.pmod(F.xxhash64("doc_id"), spare + 1).cast("int")
     rows = (
-        docs.where(F.length("text") <= TRAIN_CHARS)
-        .select("doc_id", "text")
+        docs.where(F.col("text").isNotNull())
+        .select("doc_id", F.substr("text", begin, F.lit(TRAIN_CHARS)).alias("text"))
         .join(F.broadcast(chosen), "doc_id")
         .groupBy("doc_id", "toxic")
         .agg(F.max("text").alias("text"))

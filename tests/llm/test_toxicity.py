@@ -115,3 +115,54 @@ def test_every_window_is_scored_wherever_a_passage_stands(params):
         found = tox.Scorer(params).scores([b" ".join(words)])[0]
         parts = [b" ".join(words[s : s + tox.WINDOW]) for s in range(len(words) - tox.WINDOW + 1)]
         assert found == pytest.approx(max(tox.Scorer(params).scores(parts)), abs=1e-5)
+
+
+def min_max(values, low):
+    return np.array([min(max(v, low), 1) for v in values])
+
+
+def plain_logit(params, words):
+    """The logit of one window by loops over its words, in double precision."""
+    p = {k: np.asarray(v, np.float64) for k, v in params.items()}
+    inputs = [np.concatenate(tox.project(params, tox.embed(params, tox.word_features([w])))[i:i + 1], axis=None) for w in words for i in (0, 1)]
+    h = tox.HIDDEN
+
+    def run(steps, u, c):
+        state, states = np.zeros(h), []
+        for x in steps:
+            g = state @ u
+            z, r = (min_max(0.25 * (x[k * h : (k + 1) * h] + g[k * h : (k + 1) * h]) + 0.5, 0) for k in (0, 1))
+            new = min_max(x[2 * h :] + r * (g[2 * h :] + c), -1)
+            state = (1 - z) * new + z * state
+            states.append(state)
+        return states
+
+    ahead = run(inputs[0::2], p["u_a"], p["c_a"])
+    back = run(inputs[1::2][::-1], p["u_b"], p["c_b"])[::-1]
+    states = [np.concatenate(s) for s in zip(ahead, back, strict=True)]
+    weights = [np.exp(np.tanh(s @ p["att_w"] + p["att_b"]) @ p["att_v"]) for s in states]
+    pooled = sum(w * s for w, s in zip(weights, states, strict=True)) / sum(weights)
+    return pooled @ p["out_w"] + p["out_b"][0]
+
+
+def test_scores_equal_a_plain_recurrent_network(params, monkeypatch):
+    monkeypatch.setattr(tox, "_BATCH_WINDOWS", 7)
+    rng = np.random.default_rng(2)
+    known = [b"you", b"are", b"a", b"stupid", b"calm", b"day", b"n\xc3\xa9", b"..."]
+    sizes = (1, 5, 23, 24, 25, 40, 90, 24, 12)
+    texts = [b" ".join(known[i] for i in rng.integers(0, len(known), n)) for n in sizes]
+    found = tox.Scorer(params).scores(texts)
+    for text, score in zip(texts, found, strict=True):
+        words = tox.tokens(text)
+        top = max(plain_logit(params, words[s : s + tox.WINDOW]) for s in tox.window_starts(len(words)))
+        assert score == pytest.approx(1 / (1 + np.exp(-top)), abs=1e-5)
+
+
+def test_training_windows_cover_a_text_and_begin_anywhere():
+    seen = set()
+    for shift in range(tox.TRAIN_STRIDE):
+        for n in (0, 1, 23, 24, 25, 100):
+            starts = tox._training_starts(n, shift).tolist()
+            assert {w for s in starts for w in range(s, min(n, s + tox.WINDOW))} == set(range(n))
+        seen.update(tox._training_starts(500, shift).tolist())
+    assert seen == set(range(500 - tox.WINDOW + 1))
