@@ -9,19 +9,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from snapmart import settings
 
-_TRIM_SETTING = "spark.sql.optimizer.windowGroupLimitThreshold"
-
-
-def _allow_trimming(spark: SparkSession, count: int) -> None:
-    # Spark trims ranked windows before the shuffle only up to this session setting.
-    if int(spark.conf.get(_TRIM_SETTING)) < count:
-        spark.conf.set(_TRIM_SETTING, str(count))
-
 
 def first_rows(
     frame: DataFrame, groups: Sequence[str], order: Sequence[str | Column], count: int
@@ -31,10 +23,10 @@ def first_rows(
     A group is first cut inside sub-groups salted by the order columns, then as
     a whole; a row among the first of its group is among the first of its
     sub-group.  Both cuts are trimmed in the tasks before they shuffle, so of a
-    hot group the last task gets ``SALT_BUCKETS * count`` rows at most.  The
-    session's limit for that trimming is raised to ``count`` where it is lower.
+    hot group the last task gets ``SALT_BUCKETS * count`` rows at most.  Spark
+    trims up to the session's limit (see ``session.SETTINGS``); beyond it the
+    result is the same, and sub-groups are cut after their shuffle.
     """
-    _allow_trimming(frame.sparkSession, count)
     place = "_place"
     ordering = [F.col(o) if isinstance(o, str) else o for o in order]
 

@@ -132,10 +132,12 @@ def trending(
 ) -> DataFrame:
     """Recent observations by views; one video may fill several places.
 
-    ``dedupe`` keeps only the best observation of each video.
+    ``dedupe`` keeps only the best observation of each video.  Ties go by all
+    remaining columns, so rows that come out in another order are equal.
     """
+    ties = [c for c in OUTPUT if c not in ("id", "views", "crawl_date")]
     recent = history.where(times.since(history, "crawl_date", as_of, hours))
     chosen = filters.in_category(filters.at_least(recent, "views", min_views), category)
     if dedupe:
-        chosen = first_rows(chosen, ["id"], [F.desc("views"), F.desc("crawl_date")], 1)
-    return top(chosen, "views", ["id", "crawl_date"], limit).select(*OUTPUT)
+        chosen = first_rows(chosen, ["id"], [F.desc("views"), F.desc("crawl_date"), *ties], 1)
+    return top(chosen, "views", ["id", "crawl_date", *ties], limit).select(*OUTPUT)

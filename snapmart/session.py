@@ -10,6 +10,8 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Caps up to so many rows a group are trimmed before they shuffle.
+    "spark.sql.optimizer.windowGroupLimitThreshold": "10000",
     # Python's JSON reader keeps the last of repeated object keys.
     "spark.sql.variant.allowDuplicateKeys": "true",
 }
