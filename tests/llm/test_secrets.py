@@ -6,6 +6,8 @@ import hashlib
 import math
 import random
 import re
+import string
+import time
 from collections import Counter
 
 from snapmart.llm import secrets
@@ -27,33 +29,49 @@ def base_spans(text):
     return sorted(spans)
 
 
+def pieces(start, run):
+    """What the allow-list leaves of a run, pattern by pattern."""
+    left = [(start, run)]
+    for pattern in ALLOW:
+        cut = []
+        for at, part in left:
+            ends = [0] + [e for m in pattern.finditer(part) for e in m.span()] + [len(part)]
+            cut += [(at + a, part[a:b]) for a, b in zip(ends[::2], ends[1::2])]
+        left = cut
+    return left
+
+
+def counts(window):
+    bits = -sum(c / 20 * math.log2(c / 20) for c in Counter(window).values())
+    both = re.search("[A-Z]", window) and re.search("[a-z]", window)
+    if re.fullmatch("[A-Za-z]+", window):
+        least = secrets.BOTH_CASES_BITS if both else secrets.ONE_CASE_BITS
+    elif not re.search("[0-9]", window):
+        return False
+    elif re.fullmatch("[0-9a-fA-F]+", window):
+        least = secrets.HEX_BITS
+    elif both:
+        least = secrets.MIXED_BITS
+    elif re.search("[A-Za-z]", window):
+        least = secrets.LETTERS_AND_DIGITS_BITS
+    else:
+        return False
+    return bits >= least - 1e-6
+
+
 def entropy_spans(text, base):
     out = []
     for m in re.finditer(r"[A-Za-z0-9+/_=-]{20,}", text):
-        run = m[0]
-        if any(p.search(run) for p in ALLOW):
-            continue
-        merged = []
-        for i in range(len(run) - 19):
-            window = run[i : i + 20]
-            bits = -sum(c / 20 * math.log2(c / 20) for c in Counter(window).values())
-            if not re.search("[0-9]", window):
-                continue
-            if re.fullmatch("[0-9a-fA-F]+", window):
-                least = secrets.HEX_BITS
-            elif re.search("[A-Z]", window) and re.search("[a-z]", window):
-                least = secrets.MIXED_BITS
-            elif re.search("[A-Za-z]", window):
-                least = secrets.LETTERS_AND_DIGITS_BITS
-            else:
-                continue
-            if bits < least - 1e-6:
-                continue
-            if merged and merged[-1][1] >= i:
-                merged[-1][1] = i + 20
-            else:
-                merged.append([i, i + 20])
-        out += [(m.start() + a, 3, m.start() + b) for a, b in merged]
+        for at, part in pieces(m.start(), m[0]):
+            merged = []
+            for i in range(len(part) - 19):
+                if not counts(part[i : i + 20]):
+                    continue
+                if merged and merged[-1][1] >= i:
+                    merged[-1][1] = i + 20
+                else:
+                    merged.append([i, i + 20])
+            out += [(at + a, 3, at + b) for a, b in merged]
     return [s for s in out if not any(b[0] <= s[0] and s[2] <= b[2] for b in base)]
 
 
@@ -128,3 +146,48 @@ def test_clashing_columns_and_allow_list(spark):
     kept = secrets.find_secrets(docs).first()
     assert kept["base"] == [] and len(kept["spans"]) == 1 and kept["id"] == 1
     assert secrets.find_secrets(docs, allow_list=(secret[:5],)).first()["spans"] == []
+
+
+BASE64 = string.ascii_letters + string.digits + "+/"
+
+
+def caught(documents, texts):
+    found = report(documents(list(enumerate(texts))))
+    return sum(r[4] > 0 for r in found) / len(texts)
+
+
+def test_recall_on_random_keys(documents):
+    rng = random.Random(11)
+    key = lambda letters, n: "".join(rng.choice(letters) for _ in range(n))
+    for n in (64, 88, 200):
+        assert caught(documents, [f"see {key(BASE64, n)} here" for _ in range(200)]) >= 0.95
+    for letters in (string.ascii_letters, string.ascii_lowercase, string.ascii_uppercase):
+        assert caught(documents, [key(letters, 40) for _ in range(200)]) >= 0.95
+    named = ["sample_key/" + key(string.ascii_letters + string.digits, 40) for _ in range(200)]
+    assert caught(documents, named) >= 0.95
+
+
+def test_allowed_strings_are_left_alone(documents):
+    texts = [
+        "123e4567-e89b-12d3-a456-426614174000 and id=123E4567-E89B-12D3-A456-426614174000",
+        "/usr/local/share/python3/Library-2/site_packages/2024/archive",
+        "see //cdn-2.host3/assets/2024/img-12/Large for it",
+        "----------------------------------- ====================",
+        "0123456789abcdefghij0123456789qwertyuiop0123456789",
+        "internationalization uncharacteristically",
+    ]
+    found = report(documents(list(enumerate(texts))))
+    assert [r[4] for r in found] == [0] * len(texts)
+
+
+def test_many_hits_in_one_text(documents):
+    """40,000 hits are found in time that grows with the text, and none is lost."""
+    hit = "token=abcdefghijkl1 "
+    key = "Zx9Qw7Lk2Mn4Bv6Cc8Aa1Tt "
+    began = time.monotonic()
+    found = report(documents([(1, hit * 40_000), (2, key * 5_000), (3, "x" + "aB3xY9" * 20_000)]))
+    assert time.monotonic() - began < 60
+    by_id = {r[0]: r for r in found}
+    assert by_id[1][1] == 40_000 and by_id[2][4] == 5_000 and by_id[3][4] <= 1
+    want = ",".join(f"assign:{20 * i}:{20 * i + 19}" for i in range(40_000))
+    assert by_id[1][6] == want
