@@ -2,18 +2,23 @@
 
 A text is a sequence of lines; lines without words are skipped over.  From each
 line the shortest run of lines with at least ``MIN_WORDS`` words is a window,
-and the line with the smallest hash in it is the window's fingerprint.  Any run
-of so many words that two documents share contains a window of both, so no such
-run is missed.  Fingerprints that also agree on the window's lines are joined:
-the first document that has one keeps it, every later place is a match.  A
-match is extended line by line both ways as far as the first place agrees, and
-the runs found in later places are deleted.
-
-First is the document with the smallest doc_id (null ids last, then the hash
-of the text); inside a document, the first place.  Rows that agree in doc_id
-and text are one document.  Only hashes and positions are shuffled before the
-last join, and what a fingerprint's first place needs for the extension has
-fewer than ``MIN_WORDS`` words each way.
+and the line with the smallest hash in it (the first of equal ones) is selected
+as fingerprint.  Windows that select the same line give one fingerprint.  Any
+run of so many words that two places share contains a window of both, and both
+select the same line in it, so no such run is missed.
+
+Fingerprints are joined by the hash of their line; those of one place only end
+there.  The others are verified by the lines of their windows: the first place
+that has a window's lines keeps them, every later place is a match.  A match is
+extended line by line both ways as far as the first place agrees, and the runs
+found in later places are deleted.  So a line that many texts have (a footer)
+costs each of its places the windows around it, and no pairs.
+
+First is the document with the smallest doc_id (a whole number; null ids last,
+then the hash of the text); inside a document, the first place.  Rows that agree
+in doc_id and text are one document.  Only hashes and positions are shuffled
+before the last join, and what a fingerprint carries has fewer than four times
+``MIN_WORDS`` words and a line, whatever the length of its text.
 """
 
 from __future__ import annotations
@@ -34,21 +39,34 @@ from snapmart.llm.texts import whole_text
 
 MIN_WORDS = 50
 
-_PLACES = (
-    "doc_id bigint, text_hash bigint, mark bigint, start int, end int, again boolean, "
-    "before array<bigint>, after array<bigint>"
+# ``hashes``: of the lines around a fingerprint.  Of a window, ``first``, ``behind``,
+# ``low`` and ``high`` are places in ``hashes``: its lines, and what is kept around them.
+_PRINTS = (
+    "doc_id bigint, text_hash bigint, print bigint, hashes array<bigint>, "
+    "windows array<struct<mark:bigint,start:int,end:int,first:int,behind:int,low:int,high:int,"
+    "again:boolean>>"
+)
+_ARROW_WINDOW = pa.struct(
+    [("mark", pa.int64())]
+    + [(n, pa.int32()) for n in ("start", "end", "first", "behind", "low", "high")]
+    + [("again", pa.bool_())]
 )
+_ARROW_PRINTS = pa.schema(
+    [(n, pa.int64()) for n in ("doc_id", "text_hash", "print")]
+    + [("hashes", pa.list_(pa.int64())), ("windows", pa.list_(_ARROW_WINDOW))]
+)
+# Rows that are handed on at once.
+_HELD = 5_000
 
 
-def windows(
+def fingerprints(
     text: bytes | None, min_words: int = MIN_WORDS
-) -> Iterator[tuple[int, int, int, list[int], list[int]]]:
-    """(mark, first line, line after the last, hashes before, hashes after) of each window.
+) -> Iterator[tuple[int, list[int], list[dict]]]:
+    """(hash of the selected line, hashes around it, windows that select it), in order.
 
-    The hashes before are listed from the nearest line backwards.  Either side
-    reaches as far as it has fewer words than a window; what agrees beyond that
-    lies in windows of its own.  The mark joins the window's smallest line hash
-    with the hash of its lines.
+    A window's ``mark`` is the hash of its lines, ``again`` says that the text had
+    them before.  Around a window are kept lines of fewer words than a window
+    each way; what agrees beyond that lies in windows of its own.
     """
     lines = [line.strip() for line in (text or b"").split(b"\n")]
     at = [i for i, line in enumerate(lines) if line]
@@ -61,46 +79,82 @@ def windows(
     high = np.searchsorted(total, total + min_words, side="left") - 1
     low = np.searchsorted(total, total - min_words, side="right")
     listed = hashes.view(np.int64).tolist()
+    seen: set[int] = set()
+    selected, begin, found = -1, 0, []
     for k, end in enumerate(ends.tolist()):
         if end > len(at):
             break
         part = hashes[k:end]
-        anchor = part.min().tobytes()
-        mark = xxhash.xxh64_intdigest(anchor + part.tobytes()) - (1 << 63)
-        yield mark, at[k], at[end - 1] + 1, listed[low[k] : k][::-1], listed[end : high[end]]
+        least = k + int(part.argmin())
+        if least != selected:
+            if found:
+                yield listed[selected], listed[begin : begin + found[-1]["high"]], found
+            selected, begin, found = least, int(low[k]), []
+        mark = xxhash.xxh64_intdigest(part.tobytes()) - (1 << 63)
+        found.append(
+            {
+                "mark": mark, "start": at[k], "end": at[end - 1] + 1, "first": k - begin,
+                "behind": end - begin, "low": int(low[k]) - begin, "high": int(high[end]) - begin,
+                "again": mark in seen,
+            }
+        )
+        seen.add(mark)
+    if found:
+        yield listed[selected], listed[begin : begin + found[-1]["high"]], found
 
 
-def places(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
-    """Every window of every document; ``again`` where the document had the mark before."""
+def prints(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
+    """The fingerprints of every document; equal rows of a batch are read once."""
+
+    def packed(rows: list[tuple]) -> pa.RecordBatch:
+        columns = list(zip(*rows, strict=True)) if rows else [[]] * len(_ARROW_PRINTS)
+        return pa.RecordBatch.from_arrays(
+            [pa.array(c, f.type) for c, f in zip(columns, _ARROW_PRINTS, strict=True)],
+            schema=_ARROW_PRINTS,
+        )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        schema = None
         for batch in batches:
-            rows = []
+            rows, read = [], set()
+            ids, text_hashes = (c.to_pylist() for c in batch.columns[:2])
             texts = batch.column(2).cast(pa.binary())
-            for doc_id, text_hash, text in zip(*batch.columns[:2], texts, strict=True):
-                seen: set[int] = set()
-                doc_id, text_hash = doc_id.as_py(), text_hash.as_py()
-                for mark, start, end, before, after in windows(text.as_py(), min_words):
-                    rows.append((doc_id, text_hash, mark, start, end, mark in seen, before, after))
-                    seen.add(mark)
-            schema = schema or pa.schema(
-                [
-                    ("doc_id", pa.int64()), ("text_hash", pa.int64()), ("mark", pa.int64()),
-                    ("start", pa.int32()), ("end", pa.int32()), ("again", pa.bool_()),
-                    ("before", pa.list_(pa.int64())), ("after", pa.list_(pa.int64())),
-                ]
-            )
-            columns = list(zip(*rows, strict=True)) if rows else [[]] * len(schema)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(c, f.type) for c, f in zip(columns, schema, strict=True)], schema=schema
-            )
+            for doc_id, text_hash, text in zip(ids, text_hashes, texts, strict=True):
+                if (doc_id, text_hash) in read:
+                    continue
+                read.add((doc_id, text_hash))
+                for found in fingerprints(text.as_py(), min_words):
+                    rows.append((doc_id, text_hash, *found))
+                    if len(rows) == _HELD:
+                        yield packed(rows)
+                        rows = []
+            yield packed(rows)
 
     body = whole_text("text")
     named = docs.select(
         F.col("doc_id").cast("bigint").alias("doc_id"), F.xxhash64(body).alias("text_hash"), "text"
     )
-    return named.where(F.length("text") > 0).mapInArrow(run, _PLACES)
+    return named.where(F.length("text") > 0).mapInArrow(run, _PRINTS)
+
+
+def shared_windows(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
+    """Windows of the fingerprints that have two places or more, with what lies around them.
+
+    Rows of equal documents are one.  ``before`` is listed from the nearest line
+    backwards.
+    """
+    found = saved(prints(docs, min_words), "line-prints")
+    repeated = found.groupBy("print").count().where("count > 1").select("print")
+    window = look_up(found, repeated, "print", "inner").distinct().select(
+        "doc_id", "text_hash", "hashes", F.explode("windows").alias("w")
+    )
+    part = lambda begin, end: F.slice("hashes", begin + 1, end - begin)
+    return window.select(
+        "doc_id",
+        "text_hash",
+        *[f"w.{n}" for n in ("mark", "start", "end", "again")],
+        F.reverse(part(F.col("w.low"), F.col("w.first"))).alias("before"),
+        part(F.col("w.behind"), F.col("w.high")).alias("after"),
+    )
 
 
 def _same(left: Column, right: Column) -> Column:
@@ -129,7 +183,7 @@ def repeated_runs(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     A run has the first line of its windows (``start``), the line after their
     last (``end``) and how many more lines with words agree on either side.
     """
-    found = saved(places(docs, min_words), "line-windows")
+    found = saved(shared_windows(docs, min_words), "line-windows")
     first = (
         found.groupBy("mark")
         .agg(
@@ -179,19 +233,24 @@ def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     Null and empty texts stay as they are; a text that repeats earlier runs
     throughout becomes empty or keeps what it has of its own.  Lines compare
     without surrounding blanks.  A column ``n_chars`` is counted anew where the
-    text changed.  An empty table gives no rows.
+    text changed.  Rows that repeat a doc_id and text are one document and lose
+    the same lines.  A text of any length is read whole.  Ids are whole numbers or
+    null.  An empty table gives no rows.
     """
+    key = lambda doc_id, text_hash: [
+        F.coalesce(doc_id, F.lit(0).cast("bigint")).alias("_line_id"),
+        doc_id.isNull().alias("_line_no_id"),
+        text_hash.alias("_line_hash"),
+    ]
     runs = repeated_runs(docs, min_words).select(
-        F.col("doc_id").alias("_line_id"),
-        F.col("text_hash").alias("_line_hash"),
-        F.col("runs").alias("_line_runs"),
+        *key(F.col("doc_id"), F.col("text_hash")), F.col("runs").alias("_line_runs")
+    )
+    keyed = docs.select(
+        "*", *key(F.col("doc_id").cast("bigint"), F.xxhash64(whole_text("text")))
+    )
+    rows = look_up(keyed, runs, ["_line_id", "_line_no_id", "_line_hash"]).withColumn(
+        "_line_new", _cut("text", "_line_runs")
     )
-    rows = docs.join(
-        runs,
-        F.col("doc_id").cast("bigint").eqNullSafe(F.col("_line_id"))
-        & (F.xxhash64(whole_text("text")) == F.col("_line_hash")),
-        "left",
-    ).withColumn("_line_new", _cut("text", "_line_runs"))
     out = []
     for c in docs.columns:
         if c == "text":

@@ -10,17 +10,22 @@ from snapmart.llm.tables import saved
 SALTS = 16
 
 
-def look_up(rows: DataFrame, known: DataFrame, key: str, how: str = "left") -> DataFrame:
+def look_up(
+    rows: DataFrame, known: DataFrame, key: str | list[str], how: str = "left"
+) -> DataFrame:
     """Join rows, of which a third may share one key, to a side with one row per key.
 
     The rows of a key are dealt to ``SALTS`` parts and the known side is sent to
     each, so no task gets all rows of a hot key.  The part follows from the rest
-    of the row, so a row that is computed again goes where it went before.
+    of the row and from the partition that reads it: equal rows of different
+    partitions part too, and a partition that is read again deals as before.
     """
-    rest = [c for c in rows.columns if c != key]
-    dealt = rows.withColumn("_salt", F.pmod(F.xxhash64(*rest), F.lit(SALTS)).cast("int"))
+    keys = [key] if isinstance(key, str) else key
+    rest = [c for c in rows.columns if c not in keys] or keys
+    part = F.xxhash64(*rest) + F.spark_partition_id()
+    dealt = rows.withColumn("_salt", F.pmod(part, F.lit(SALTS)).cast("int"))
     spread = known.withColumn("_salt", F.explode(F.lit(list(range(SALTS)))))
-    return dealt.join(spread, [key, "_salt"], how).drop("_salt")
+    return dealt.join(spread, [*keys, "_salt"], how).drop("_salt")
 
 
 def components(edges: DataFrame, left: str = "a", right: str = "b") -> DataFrame:

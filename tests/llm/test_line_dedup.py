@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import random
 
+import xxhash
+
 from snapmart.llm import line_dedup
 
 
@@ -120,3 +122,42 @@ def test_clashing_columns(spark):
     )
     got = sorted(map(tuple, line_dedup.dedup_lines(frame).collect()))
     assert got == [(1, passage, 7, "x"), (2, "", 8, "y")]
+
+
+def test_fingerprints_are_the_minima_of_windows():
+    rng = random.Random(5)
+    lines = [" ".join(f"w{rng.randrange(99)}" for _ in range(rng.randrange(1, 9))) for _ in range(200)]
+    found = list(line_dedup.fingerprints("\n".join(lines).encode(), 50))
+    hashes = [xxhash.xxh64_intdigest(x) for x in lines]
+    signed = lambda x: x - (1 << 64) if x >> 63 else x
+    spans = [(w["start"], w["end"]) for _, _, ws in found for w in ws]
+    assert [a for a, _ in spans] == list(range(len(spans)))
+    for least, around, ws in found:
+        for w in ws:
+            assert signed(min(hashes[w["start"] : w["end"]])) == least
+            inside = [signed(h) for h in hashes[w["start"] : w["end"]]]
+            assert around[w["first"] : w["behind"]] == inside
+            assert sum(len(x.split()) for x in lines[w["start"] : w["end"]]) >= 50
+    assert 0 < len(found) < len(spans) / 2
+
+
+def test_equal_rows_are_one_document(documents):
+    rng = random.Random(6)
+    text = "\n".join(" ".join(f"w{rng.randrange(999)}" for _ in range(9)) for _ in range(40))
+    seen = lambda n: sorted(map(repr, line_dedup.shared_windows(
+        documents([(1, text)] * n + [(None, text)] * n + [(2, text)])
+    ).collect()))
+    assert seen(1) == seen(2_000)
+    got = run(line_dedup.dedup_lines(documents([(1, text)] * 500 + [(None, text)] * 500 + [(2, text)])))
+    assert sorted(got, key=repr) == sorted([(1, text)] * 500 + [(None, "")] * 500 + [(2, "")], key=repr)
+
+
+def test_a_line_of_every_text_costs_no_run(documents):
+    """A line that all texts share is a fingerprint of many, and no run of 50 words."""
+    rng = random.Random(8)
+    footer = "all rights reserved"
+    docs = []
+    for i in range(300):
+        own = [" ".join(f"d{i}-{rng.randrange(999)}" for _ in range(12)) for _ in range(12)]
+        docs.append((i, "\n".join(x for line in own for x in (line, footer))))
+    assert sorted(run(line_dedup.dedup_lines(documents(docs)))) == docs
