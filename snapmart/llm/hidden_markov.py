@@ -19,7 +19,6 @@ the counts of the corpus; a rare token is never a hot key there.
 from __future__ import annotations
 
 import zlib
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -45,8 +44,11 @@ PRIOR = 0.1  # weight of the corpus distribution, by the tokens of a state
 LEAST = 10  # tokens that a symbol of its own needs in any corpus
 END = b" "  # no word has a blank
 _BATCH_BLOCKS = 4096
-_HELD_WORDS = 200_000
+# Bytes of texts, or of symbols, that a task works on at a time: the more rows there are in
+# step, the fewer steps; what is made of texts takes many times their size.
 _SLICE_BYTES = 1 << 20
+_COUNTED_BYTES = 1 << 23
+_STEPPED_BYTES = 1 << 24
 
 _NUMBERS = [f"s{k}" for k in range(STATES)]
 
@@ -63,8 +65,10 @@ def rare_class(token: bytes) -> int:
     return zlib.crc32(token[-SUFFIX_BYTES:]) % RARE_CLASSES
 
 
-def _slices(batches: Iterator[pa.RecordBatch], column: int) -> Iterator[pa.RecordBatch]:
-    """Rows of batches with about ``_SLICE_BYTES`` of a text or list column at a time.
+def _slices(
+    batches: Iterator[pa.RecordBatch], column: int, most: int = _SLICE_BYTES
+) -> Iterator[pa.RecordBatch]:
+    """Rows of batches with about ``most`` bytes of a text or list column at a time.
 
     What a task makes of the rows is held for one slice only.
     """
@@ -77,32 +81,38 @@ def _slices(batches: Iterator[pa.RecordBatch], column: int) -> Iterator[pa.Recor
         ends, low = np.cumsum(sizes), 0
         while low < batch.num_rows:
             before = ends[low - 1] if low else 0
-            high = max(low + 1, int(np.searchsorted(ends, before + _SLICE_BYTES, side="right")))
+            high = max(low + 1, int(np.searchsorted(ends, before + most, side="right")))
             yield batch.slice(low, high - low)
             low = high
 
 
+def split_tokens(texts: pa.StringArray) -> tuple[pa.DictionaryArray, np.ndarray]:
+    """Tokens of many texts as :func:`tokens` cuts them, and how many each text has."""
+    padded = pc.binary_join_element_wise(pc.fill_null(pc.ascii_lower(texts), ""), "", " ")
+    lists = pc.ascii_split_whitespace(padded)
+    found = lists.flatten().cast(pa.binary())
+    owner = np.repeat(np.arange(len(lists)), pc.list_value_length(lists).to_numpy())
+    # Blanks at either end leave an empty piece there; the last one, of the blank added, is the end.
+    ends = np.cumsum(np.bincount(owner, minlength=len(lists))) - 1
+    last = np.zeros(len(found), bool)
+    last[ends] = True
+    wanted = last | (pc.binary_length(found).to_numpy() > 0)
+    found = pc.if_else(pa.array(last), pa.scalar(END, pa.binary()), found).filter(pa.array(wanted))
+    return found.dictionary_encode(), np.bincount(owner[wanted], minlength=len(lists))
+
+
 def token_counts(docs: DataFrame) -> DataFrame:
     """``token``, ``class`` and ``c`` of every distinct token of the texts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: Counter[bytes] = Counter()
-
-        def flush() -> pa.RecordBatch:
-            found = [
-                pa.array(list(held), pa.binary()),
-                pa.array([rare_class(t) for t in held], pa.int32()),
-                pa.array(list(held.values()), pa.int64()),
-            ]
-            held.clear()
-            return pa.RecordBatch.from_arrays(found, ["token", "class", "c"])
-
-        for batch in batches:
-            for text in batch.column(0).cast(pa.binary()):
-                held.update(tokens(text.as_py()))
-                if len(held) > _HELD_WORDS:
-                    yield flush()
-        yield flush()
+        for batch in _slices(batches, 0, _COUNTED_BYTES):
+            found, _ = split_tokens(batch.column(0))
+            counts = np.bincount(found.indices.to_numpy(), minlength=len(found.dictionary))
+            classes = [rare_class(t) for t in found.dictionary.to_pylist()]
+            yield pa.RecordBatch.from_arrays(
+                [found.dictionary, pa.array(classes, pa.int32()), pa.array(counts, pa.int64())],
+                ["token", "class", "c"],
+            )
 
     return (
         docs.select("text")
@@ -197,36 +207,44 @@ def encoded(docs: DataFrame, lexicon: Broadcast) -> DataFrame:
         known: Lexicon = lexicon.value
         first = len(known.symbols)
         logs = np.log10((known.counts + 1) / known.base_divisor)
-        symbol = known.symbols.get
         struct = pa.struct([("token", pa.binary()), ("class", pa.int32()), ("tf", pa.int32())])
         for batch in _slices(batches, 2):
-            ids, base, known_n, rare = [], [], [], []
-            for text in batch.column(2).cast(pa.binary()):
-                own = tokens(text.as_py())
-                found = [symbol(t, -1) for t in own]
-                at = np.array(found, np.int32)
-                missing = np.flatnonzero(at < 0)
-                base.append(float(logs[at[at >= 0]].sum()))
-                known_n.append(int((known.counts[at[at >= 0]] > 0).sum()))
-                counted: Counter[bytes] = Counter([own[i] for i in missing.tolist()])
-                rare.append([(t, rare_class(t), n) for t, n in counted.items()])
-                at[missing] = [first + rare_class(own[i]) for i in missing.tolist()]
-                ids.append(at)
-            sizes = np.array([len(i) for i in ids], np.int64)
-            offsets = pa.array(np.concatenate([[0], np.cumsum(sizes)]), pa.int32())
-            flat = pa.array(np.concatenate(ids) if ids else np.zeros(0, np.int32), pa.int32())
-            rare_offsets = pa.array(np.cumsum([0, *map(len, rare)]), pa.int32())
-            parts = list(zip(*(r for own in rare for r in own), strict=True)) or [[], [], []]
+            found, sizes = split_tokens(batch.column(2))
+            distinct = found.dictionary.to_pylist()
+            own = np.array([known.symbols.get(t, -1) for t in distinct], np.int32)
+            unknown = own < 0
+            classes = np.zeros(len(distinct), np.int32)
+            classes[unknown] = [rare_class(distinct[i]) for i in np.flatnonzero(unknown).tolist()]
+            own[unknown] = first + classes[unknown]
+            codes, count = found.indices.to_numpy(), len(sizes)
+            owner, at = np.repeat(np.arange(count), sizes), own[codes]
+            frequent = ~unknown[codes]
+            base = np.bincount(owner[frequent], logs[at[frequent]], count)
+            known_n = np.bincount(owner[frequent], known.counts[at[frequent]] > 0, count)
+            pairs, tf = np.unique(
+                owner[~frequent] * len(distinct) + codes[~frequent], return_counts=True
+            )
+            holder, token = np.divmod(pairs, max(1, len(distinct)))
+            rare = np.bincount(holder, minlength=count)
             items = pa.StructArray.from_arrays(
-                [pa.array(p, f.type) for p, f in zip(parts, struct, strict=True)], fields=list(struct)
+                [
+                    found.dictionary.take(pa.array(token)),
+                    pa.array(classes[token], pa.int32()),
+                    pa.array(tf, pa.int32()),
+                ],
+                fields=list(struct),
+            )
+            offsets, rare_offsets = (
+                pa.array(np.concatenate([[0], np.cumsum(n)]), pa.int32()) for n in (sizes, rare)
             )
+            flat = pa.array(at, pa.int32())
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0),
                     batch.column(1),
                     pa.ListArray.from_arrays(offsets, flat),
                     pa.array(base, pa.float64()),
-                    pa.array(known_n, pa.int64()),
+                    pa.array(known_n.astype(np.int64)),
                     pa.ListArray.from_arrays(rare_offsets, items),
                 ],
                 ["doc_id", "held_out", "symbols", "base", "known", "rare"],
@@ -316,7 +334,7 @@ def expected_counts(symbols: DataFrame, model: Model) -> tuple[dict[str, np.ndar
         own = shared.value
         emit, moves = np.zeros((size, STATES)), np.zeros((STATES, STATES))
         start, log_likelihood = np.zeros(STATES), 0.0
-        for batch in _slices(batches, 0):
+        for batch in _slices(batches, 0, _STEPPED_BYTES):
             for blocks, sizes, first in _blocks(batch.column(0)):
                 e, m, s, ll = block_counts(own, blocks, sizes, first)
                 emit += e
@@ -390,7 +408,7 @@ def forward_scores(rows: DataFrame, model: Model) -> DataFrame:
     shared = rows.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in _slices(batches, 1):
+        for batch in _slices(batches, 1, _STEPPED_BYTES):
             found = log_likelihoods(shared.value, batch.column(1)) / np.log(10)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found)], ["row", "forward"])
 
