@@ -9,7 +9,7 @@ from snapmart.operators.merge import MergePolicy, read_buckets
 from snapmart.plans import products
 from snapmart.registry import CHECKS, bodies, registered, views
 from snapmart.registry import flattening as _flattening  # noqa: F401  (its SQL is reused)
-from snapmart.streaming import jobs, requests
+from snapmart.streaming import jobs, requests, running
 from snapmart.workspace import new_folder
 
 
@@ -223,6 +223,69 @@ def stream_dedup_batches(spark, sf_dir):
     return jobs.read_first_seen(spark, root, stream.schema)
 
 
+CAP = 30
+
+
+@registered(
+    "stream_cap_batches",
+    f"""
+SELECT user_id, event_type, seq FROM (
+  SELECT user_id, event_type, event_id // {PARTS} AS seq,
+         row_number() OVER (PARTITION BY user_id
+                            ORDER BY event_id % {PARTS}, event_id // {PARTS}) AS place
+  FROM events) WHERE place <= {CAP}""",
+)
+def stream_cap_batches(spark, sf_dir):
+    """The first events of each user, at most ``CAP`` over all micro-batches together."""
+    root, checkpoint = new_folder(spark, "capped"), new_folder(spark, "checkpoint")
+    stream = _landed_parts(spark, sf_dir).select("user_id", "event_type", "seq")
+    running.start_capped(stream, ["user_id"], ["seq"], CAP, root, checkpoint, 16).awaitTermination()
+    return jobs.read_first_seen(spark, root, stream.schema)
+
+
+def _running_totals(spark, stream, kept):
+    root, checkpoint = new_folder(spark, "totals"), new_folder(spark, "checkpoint")
+    running.start_totals(stream, kept, root, checkpoint, 16).awaitTermination()
+    return running.read_totals(spark, kept, stream.schema, root)
+
+
+@registered(
+    "stream_totals",
+    """
+SELECT event_type, count(*) AS n, CAST(sum(CAST(floor(value) AS BIGINT)) AS BIGINT) AS total,
+       min(ts) AS first_seen, max(ts) AS last_seen, count(DISTINCT user_id) AS users
+FROM events GROUP BY event_type""",
+)
+def stream_totals(spark, sf_dir):
+    """Counters per event type, kept up to date by several micro-batches."""
+    stream = _landed_parts(spark, sf_dir).withColumn(
+        "whole", F.floor("last_value").cast("bigint")
+    )
+    kept = running.Totals(("event_type",), ("whole",), ("first_seen",), ("last_seen",), ("user_id",))
+    return _running_totals(spark, stream, kept).select(
+        "event_type",
+        F.col("rows").alias("n"),
+        F.col("sum_whole").alias("total"),
+        F.col("min_first_seen").alias("first_seen"),
+        F.col("max_last_seen").alias("last_seen"),
+        F.col("distinct_user_id").alias("users"),
+    )
+
+
+@registered(
+    "stream_run_totals",
+    """
+SELECT count(*) AS total_records, count(DISTINCT user_id) AS distinct_records FROM events""",
+)
+def stream_run_totals(spark, sf_dir):
+    """All records and distinct records so far, as one row."""
+    stream = _landed_parts(spark, sf_dir).withColumn("run", F.lit("all"))
+    kept = running.Totals(("run",), distinct=("user_id",))
+    return _running_totals(spark, stream, kept).select(
+        F.col("rows").alias("total_records"), F.col("distinct_user_id").alias("distinct_records")
+    )
+
+
 # A response may come so long after its request; rows land out of order within the delay.
 WITHIN, DELAY, CLOSED_AT = "120 MINUTES", "60 days", "9999-01-01 00:00:00"
 REQUESTS_LANDED, RESPONSES_LANDED = (2, 0, 3, 1), (3, 1, 0, 2)

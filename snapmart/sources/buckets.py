@@ -13,7 +13,7 @@ from __future__ import annotations
 
 import uuid
 from collections import Counter
-from collections.abc import Iterable, Sequence
+from collections.abc import Callable, Iterable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -125,12 +125,18 @@ def replace_buckets(
 
 
 def add_rows(
-    frame: DataFrame, root: str, keys: Sequence[str], base: Manifest, version: int
+    frame: DataFrame,
+    root: str,
+    keys: Sequence[str],
+    base: Manifest,
+    version: int,
+    fold: Callable[[DataFrame], DataFrame] | None = None,
 ) -> Manifest:
     """A version with the rows added; buckets of many folders are brought into one.
 
     So a bucket never has more than ``MOST_PARTS`` folders, however many versions
     there were, and most versions write little more than the rows they add.
+    ``fold`` reduces the rows of a bucket when that happens (to one a key, say).
     """
     spark = frame.sparkSession
     parts = [*base.parts, *write_parts(frame, root, keys, base.buckets)]
@@ -138,7 +144,8 @@ def add_rows(
     full = {bucket for bucket, n in count.items() if n > MOST_PARTS}
     if full:
         old = [p for p in parts if p[0] in full]
-        merged = write_parts(read_parts(spark, root, old, frame.schema), root, keys, base.buckets)
+        rows = read_parts(spark, root, old, frame.schema)
+        merged = write_parts(fold(rows) if fold else rows, root, keys, base.buckets)
         parts = [*(p for p in parts if p[0] not in full), *merged]
     made = Manifest(version, base.buckets, tuple(sorted(parts)))
     write_manifest(spark, root, made)

@@ -94,33 +94,44 @@ def start_first_seen(
     bounded number of files however many batches there were.  If the batch's
     ids are measured to be few, only they are looked up there.
     """
-    keys = list(ids)
-    known_root = f"{root}/_known"
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        # Not the version of this very batch: a replay looks at what was known before.
-        base = buckets.latest_manifest(spark, known_root, batch_id - 1)
-        base = base or buckets.Manifest(-1, n_buckets)
-        # Used several times below; a lost part of it is computed again.
-        first = keep_first(batch, keys, order).persist()
-        try:
-            wanted = first.select(*keys)
-            hit = base.of(buckets.buckets_hit(wanted, keys, base.buckets)) if base.parts else []
-            seen = buckets.read_parts(spark, known_root, hit, wanted.schema)
-            if hit and fits_broadcast(wanted):
-                seen = _among(seen, F.broadcast(wanted), keys, "left_semi")
-            fresh = _among(first, seen, keys, "left_anti").select(*batch.columns)
-            tables.write_history_batch(fresh, root, batch_id)
-            # What was written, not what would be computed, is what is known from now on.
-            accepted = spark.read.schema(batch.schema).parquet(f"{root}/{BATCH}={batch_id}")
-            buckets.add_rows(accepted.select(*keys), known_root, keys, base, batch_id)
-        finally:
-            first.unpersist()
+        accept_first(batch, batch_id, ids, order, root, n_buckets)
 
     return run_available(stream, checkpoint, handle)
 
 
+def accept_first(
+    batch: DataFrame,
+    batch_id: int,
+    ids: Sequence[str],
+    order: Sequence[str],
+    root: str,
+    n_buckets: int = buckets.BUCKETS,
+) -> DataFrame:
+    """The first row of each id that no earlier batch had, written and known from now on."""
+    spark, keys, known_root = batch.sparkSession, list(ids), f"{root}/_known"
+    # Not the version of this very batch: a replay looks at what was known before.
+    base = buckets.latest_manifest(spark, known_root, batch_id - 1)
+    base = base or buckets.Manifest(-1, n_buckets)
+    # Used several times below; a lost part of it is computed again.
+    first = keep_first(batch, keys, order).persist()
+    try:
+        wanted = first.select(*keys)
+        hit = base.of(buckets.buckets_hit(wanted, keys, base.buckets)) if base.parts else []
+        seen = buckets.read_parts(spark, known_root, hit, wanted.schema)
+        if hit and fits_broadcast(wanted):
+            seen = _among(seen, F.broadcast(wanted), keys, "left_semi")
+        fresh = _among(first, seen, keys, "left_anti").select(*batch.columns)
+        tables.write_history_batch(fresh, root, batch_id)
+        # What was written, not what would be computed, is what is known from now on.
+        accepted = spark.read.schema(batch.schema).parquet(f"{root}/{BATCH}={batch_id}")
+        buckets.add_rows(accepted.select(*keys), known_root, keys, base, batch_id)
+    finally:
+        first.unpersist()
+    return accepted
+
+
 def _among(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
     """A semi or anti join in which nulls equal each other, as they do for keep-first."""
     right = right.select(*(F.col(k).alias(f"_r_{k}") for k in keys))
