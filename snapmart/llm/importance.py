@@ -21,9 +21,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from snapmart.llm.links import with_marks
 from snapmart.llm.tables import saved
 from snapmart.llm.texts import whole_text
-from snapmart.operators.sizing import fits_broadcast
 
 BUCKETS = 1 << 16
 # Each target share starts from the raw one, as if seen so many times as often as expected.
@@ -43,8 +43,6 @@ def counts(docs: DataFrame, target_ids: DataFrame, key: str, text: str) -> np.nd
     """Two rows of bucket counts: of target documents and of all documents."""
     marks = target_ids.select(key).where(F.col(key).isNotNull()).distinct()
     marks = marks.withColumn("_target", F.lit(1))
-    if fits_broadcast(marks):
-        marks = F.broadcast(marks)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found = np.zeros((2, BUCKETS), np.int64)
@@ -60,8 +58,7 @@ def counts(docs: DataFrame, target_ids: DataFrame, key: str, text: str) -> np.nd
         yield pa.RecordBatch.from_arrays(columns, ["bucket", "target", "raw"])
 
     rows = (
-        docs.select(key, text)
-        .join(marks, key, "left")
+        with_marks(docs.select(key, text), marks, key)
         .select(text, "_target")
         .mapInArrow(run, "bucket bigint, target bigint, raw bigint")
         .groupBy("bucket")

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from snapmart.llm.tables import saved
+from snapmart.operators.sizing import fits_broadcast
 
 SALTS = 16
 
@@ -28,6 +29,17 @@ def look_up(
     return dealt.join(spread, [*keys, "_salt"], how).drop("_salt")
 
 
+def with_marks(rows: DataFrame, marks: DataFrame, key: str) -> DataFrame:
+    """Rows with the mark of their key, null without one.
+
+    Marks measured to be few are broadcast; beyond that, rows of a hot or null
+    key are dealt to several tasks.
+    """
+    if fits_broadcast(marks):
+        return rows.join(F.broadcast(marks), key, "left")
+    return look_up(rows, marks, key)
+
+
 def components(edges: DataFrame, left: str = "a", right: str = "b") -> DataFrame:
     """The smallest node (``root``) reachable from every ``node`` that has an edge.
 

@@ -17,9 +17,9 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from snapmart.llm.links import with_marks
 from snapmart.llm.tables import saved
 from snapmart.llm.texts import SPACE, constant_doubles, whole_text, words
-from snapmart.operators.sizing import fits_broadcast
 
 BUCKETS = 1 << 16
 # Each trusted share starts from the raw one, as if seen so many times as often as expected.
@@ -107,11 +107,8 @@ def log_ratios(counted: DataFrame, trusted_ids: DataFrame, key: str) -> list[flo
     """
     marks = trusted_ids.select(key).where(F.col(key).isNotNull()).distinct()
     marks = marks.withColumn("_trusted", F.lit(1))
-    if fits_broadcast(marks):
-        marks = F.broadcast(marks)
     rows = (
-        counted.select(key, "_ids")
-        .join(marks, key, "left")
+        with_marks(counted.select(key, "_ids"), marks, key)
         .select(F.explode(F.concat("_ids", _pairs("_ids"))).alias("bucket"), "_trusted")
         .groupBy("bucket")
         .agg(F.count(F.lit(1)).alias("raw"), F.count("_trusted").alias("trusted"))
