@@ -15,6 +15,10 @@ from snapmart.functions import times
 from snapmart.registry import views
 
 
+# Spelling and decoding a body cost far more than moving its event.
+TASKS_PER_CORE = 3
+
+
 def nest(path: str, value: Column) -> Column:
     """{'a': {'b': value}} for 'a.b'."""
     return reduce(lambda inner, name: F.struct(inner.alias(name)), reversed(path.split(".")), value)
@@ -30,7 +34,12 @@ def only(test: Column, value: Column) -> Column:
 
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return views.load(spark, sf_dir, "events").select(
+    """Events, dealt out: their file may have few row groups, which Spark does not split."""
+    tasks = max(
+        TASKS_PER_CORE * spark.sparkContext.defaultParallelism,
+        int(spark.conf.get("spark.sql.shuffle.partitions")),
+    )
+    return views.load(spark, sf_dir, "events").repartition(tasks).select(
         "event_id",
         "ts",
         "user_id",
