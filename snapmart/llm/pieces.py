@@ -22,6 +22,7 @@ that of the vocabulary.
 from __future__ import annotations
 
 import re
+from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from itertools import islice
@@ -35,11 +36,14 @@ from pyspark.sql import types as T
 
 MODEL_FILE = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"
-# Marked words that a task remembers, their characters, and pairs of pieces whose merging
-# it remembers.
-_CACHE_WORDS = 150_000
-_CACHE_CHARS = 5_000_000
+# Marked words that a task remembers, twice over, their characters, and pairs of pieces whose
+# merging it remembers.
+_CACHE_WORDS = 100_000
+_CACHE_CHARS = 2_500_000
 _CACHE_PAIRS = 250_000
+# Characters at the end of a piece by which the lengths of possible pieces are known.
+_TAIL = 3
+_SHORT = range(_TAIL - 1, 1, -1)
 # Characters of texts that are cut into words at a time, and words of one longer text.
 _HELD_CHARS = 1_000_000
 _HELD_WORDS = 200_000
@@ -51,7 +55,7 @@ class Vocabulary:
 
     pieces: dict[str, tuple[str, bytes]]  # each piece with its id as four bytes
     scores: dict[str, float]
-    tails: dict[str, int]  # length of the longest piece that ends in two characters
+    tails: dict[str, tuple[int, ...]]  # lengths of the pieces that end in three characters, longest first
     byte_ids: list[int]
     texts: list[bytes]  # what each id decodes to
 
@@ -59,7 +63,7 @@ class Vocabulary:
     def load(cls, path: str = MODEL_FILE) -> Vocabulary:
         """Read a model file."""
         model = sentencepiece.SentencePieceProcessor(model_file=path)
-        found, scores, texts, tails = {}, {}, [], {}
+        found, scores, texts, tails = {}, {}, [], defaultdict(set)
         byte_ids = [model.unk_id()] * 256
         for i in range(model.get_piece_size()):
             piece = model.id_to_piece(i)
@@ -71,11 +75,13 @@ class Vocabulary:
             else:
                 found[piece] = (piece, np.int32(i).tobytes())
                 scores[piece] = model.get_score(i)
-                tails[piece[-2:]] = max(tails.get(piece[-2:], 0), len(piece))
+                if len(piece) >= _TAIL:
+                    tails[piece[-_TAIL:]].add(len(piece))
                 texts.append(piece.replace(MARK, " ").encode())
         inner = [p for p in found if re.search(f"[^{MARK}]{MARK}|\n", p)]
         if inner:
             raise ValueError(f"pieces reach across words: {inner[:3]}")
+        tails = {tail: tuple(sorted(lengths, reverse=True)) for tail, lengths in tails.items()}
         return cls(found, scores, tails, byte_ids, texts)
 
 
@@ -85,6 +91,7 @@ class Encoder:
 
     vocabulary: Vocabulary
     words: dict[str, bytes] = field(default_factory=dict)
+    older: dict[str, bytes] = field(default_factory=dict)  # those before; a word that comes again moves up
     pairs: dict[tuple[str, str], bool] = field(default_factory=dict)
     steps: int = 0  # forward steps taken
     chars: int = 0  # characters of the words remembered
@@ -113,8 +120,9 @@ class Encoder:
     def learn(self, words: set[str]) -> None:
         """Encode new marked words in sorted order, from the states of the common prefix on."""
         known, pairs, tails = self.vocabulary.pieces, self.pairs, self.vocabulary.tails
-        # Forward states of the current word's prefixes: the last piece.
+        # Forward states of the current word's prefixes: the last piece, and its ids.
         last: list[str] = [""]
+        codes: list[bytes] = [b""]
         before = ""
         for word in sorted(words):
             shared = 0
@@ -122,44 +130,43 @@ class Encoder:
                 if x != y:
                     break
                 shared += 1
-            del last[shared + 1 :]
+            del last[shared + 1 :], codes[shared + 1 :]
+            self.steps += len(word) - shared
             for end in range(shared + 1, len(word) + 1):
-                self.steps += 1
                 # Only one piece fits; most often it is the last one and one more character.
                 start = end - 1 - len(last[end - 1])
                 found = known.get(word[start:end])
                 if found is not None and pairs.get((last[start], found[0])):
                     last.append(found[0])
+                    codes.append(found[1])
                     continue
-                start = max(0, end - tails.get(word[end - 2 : end], 1)) if end > 1 else end - 1
-                while start < end - 1:
-                    found = known.get(word[start:end])
+                sizes = tails.get(word[end - _TAIL : end], ()) if end >= _TAIL else ()
+                for size in (*sizes, *_SHORT):
+                    if size > end:
+                        continue
+                    found = known.get(word[end - size : end])
                     if found is not None:
-                        apart = pairs.get((last[start], found[0]))
+                        before_it = last[end - size]
+                        apart = pairs.get((before_it, found[0]))
                         if apart is None:
-                            apart = self.apart(last[start], found[0])
+                            apart = self.apart(before_it, found[0])
                         if apart:
                             break
-                    start += 1
                 else:
-                    found = known.get(word[end - 1]) or (word[end - 1],)
+                    found = known.get(word[end - 1])
+                    if found is None:
+                        found = (word[end - 1], self._spelled(word[end - 1]))
                 last.append(found[0])
+                codes.append(found[1])
             before = word
-            self.words[word] = self._ids(last)
+            made, end = [], len(word)
+            while end:
+                made.append(codes[end])
+                end -= len(last[end])
+            made.reverse()
+            self.words[word] = b"".join(made)
             self.chars += len(word)
 
-    def _ids(self, last: list[str]) -> bytes:
-        """Ids of a word, from the last pieces of all its prefixes."""
-        known = self.vocabulary.pieces
-        made, end = [], len(last) - 1
-        while end:
-            piece = last[end]
-            found = known.get(piece)
-            made.append(self._spelled(piece) if found is None else found[1])
-            end -= len(piece)
-        made.reverse()
-        return b"".join(made)
-
     def _spelled(self, char: str) -> bytes:
         """Ids of a character that is no piece, from its bytes."""
         return np.array([self.vocabulary.byte_ids[b] for b in char.encode()], np.int32).tobytes()
@@ -192,9 +199,12 @@ class Encoder:
 
     def _look_up(self, cut: list[list[str]]) -> list[np.ndarray]:
         if len(self.words) > _CACHE_WORDS or self.chars > _CACHE_CHARS:
-            self.words.clear()
-            self.chars = 0
-        self.learn({w for words in cut for w in words if w not in self.words})
+            self.older, self.words, self.chars = self.words, {}, 0
+        new = {w for words in cut for w in words if w not in self.words}
+        again = new & self.older.keys()
+        self.words.update((w, self.older[w]) for w in again)
+        self.chars += sum(map(len, again))
+        self.learn(new - again)
         look = self.words.__getitem__
         return [np.frombuffer(b"".join(map(look, words)), np.int32) for words in cut]
 

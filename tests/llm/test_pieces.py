@@ -111,3 +111,16 @@ def test_words_remembered_are_bounded_by_characters(library, monkeypatch):
         (ids,) = encoder.encode([f"{k}" * 90])
         assert ids.tolist() == library.encode(f"{k}" * 90)
         assert sum(map(len, encoder.words)) < 400
+
+
+def test_words_that_come_again_are_not_learned_again(library, monkeypatch):
+    monkeypatch.setattr(pieces, "_CACHE_WORDS", 6)
+    encoder = pieces.Encoder(pieces.Vocabulary.load())
+    encoder.encode(["common words come again and"])
+    for k in range(20):
+        own = f"x{k}y" * 3
+        steps, text = encoder.steps, f"common words come again and {own}"
+        (ids,) = encoder.encode([text])
+        assert ids.tolist() == library.encode(text)
+        assert encoder.steps - steps == len(pieces.MARK + own)
+        assert len(encoder.words) + len(encoder.older) <= 2 * (6 + 6)
