@@ -7,7 +7,7 @@ import json
 from pyspark.sql import functions as F
 
 from snapmart.plans import posts, products, shorts, videos
-from snapmart.registry import bodies
+from snapmart.registry import bodies as spelled
 from snapmart.sources import responses
 
 
@@ -390,6 +390,6 @@ def test_events_of_one_row_group_are_dealt_out(spark, tmp_path):
         "id AS event_id", "timestamp_ntz'2024-01-01 00:00:00' AS ts", "id AS user_id", "'view' AS event_type", "'{\"k\": 1}' AS props"
     )
     rows.coalesce(1).write.parquet(f"{tmp_path}/events.parquet")
-    sizes = bodies.post_responses(spark, str(tmp_path)).groupBy(F.spark_partition_id()).count().collect()
+    sizes = spelled.post_responses(spark, str(tmp_path)).groupBy(F.spark_partition_id()).count().collect()
     assert len(sizes) >= spark.sparkContext.defaultParallelism
     assert sum(r["count"] for r in sizes) == 600 and max(r["count"] for r in sizes) <= 100
