@@ -2,13 +2,18 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from snapmart.llm.tables import saved
 from snapmart.operators.sizing import fits_broadcast
 
 SALTS = 16
+# Hashes of keys that are sent to all tasks, as bits.
+MOST_BITS = 1 << 23
+# Equal keys of these kinds have equal hashes; numbers with a zero of either sign do not.
+HASHED_KINDS = (T.ByteType(), T.ShortType(), T.IntegerType(), T.LongType(), T.StringType())
 
 
 def look_up(
@@ -29,15 +34,46 @@ def look_up(
     return dealt.join(spread, [*keys, "_salt"], how).drop("_salt")
 
 
+def _hash_bits(marks: DataFrame, key: str) -> tuple[DataFrame, int]:
+    """(word, bits): which hashes of keys occur, 64 to a row, and the number of hashes.
+
+    Eight times as many hashes as marks, up to ``MOST_BITS``: never more than ``MOST_BITS`` / 64 rows.
+    """
+    bits = 1 << 12
+    while bits < min(8 * marks.count(), MOST_BITS):
+        bits *= 2
+    at = _hash(key, bits)
+    rows = marks.select(F.shiftright(at, 6).alias("_word"), F.expr("1L").alias("one"), (at % 64).cast("int").alias("at"))
+    words = rows.groupBy("_word").agg(F.bit_or(F.expr("shiftleft(one, at)")).alias("_bits"))
+    return saved(words, "mark-bits"), bits
+
+
+def _hash(key: str, bits: int) -> Column:
+    return F.pmod(F.xxhash64(key), F.lit(bits))
+
+
 def with_marks(rows: DataFrame, marks: DataFrame, key: str) -> DataFrame:
     """Rows with the mark of their key, null without one.
 
-    Marks measured to be few are broadcast; beyond that, rows of a hot or null
-    key are dealt to several tasks.
+    Marks grow with the input, so they are not sent to the driver: it gets bits of
+    their hashes, of bounded size.  Rows without a bit have no mark and stay where
+    they are; the others meet the marks in a shuffle, dealt to several tasks.
     """
-    if fits_broadcast(marks):
-        return rows.join(F.broadcast(marks), key, "left")
-    return look_up(rows, marks, key)
+    marks = saved(marks, "marks")
+    # Without the hint marks that Spark takes for few are broadcast after all, once a salt.
+    dealt = marks.hint("merge")
+    kind = rows.schema[key].dataType
+    bits, size = _hash_bits(marks, key)
+    if kind != marks.schema[key].dataType or kind not in HASHED_KINDS or not fits_broadcast(bits):
+        return look_up(rows, dealt, key)
+    at = _hash(key, size)
+    word = F.when(F.col(key).isNotNull(), F.shiftright(at, 6))
+    asked = rows.withColumn("_word", word).join(F.broadcast(bits), "_word", "left")
+    bit = F.coalesce(F.expr("shiftrightunsigned(_bits, _at) & 1"), F.lit(0))
+    asked = asked.withColumn("_at", (at % 64).cast("int")).withColumn("_may", bit == 1)
+    met = look_up(asked.where("_may").select(*rows.columns), dealt, key)
+    rest = [F.lit(None).cast(f.dataType).alias(f.name) for f in marks.schema if f.name not in rows.columns]
+    return met.unionByName(asked.where("NOT _may").select(*rows.columns, *rest))
 
 
 def components(edges: DataFrame, left: str = "a", right: str = "b") -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pytest
 from pyspark.sql import functions as F
 
 from snapmart.llm import importance, links, quality_rules
@@ -37,3 +38,37 @@ def test_rows_without_a_key_meet_in_no_single_task(spark, monkeypatch):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
         spark.conf.set("spark.sql.shuffle.partitions", "4")
     assert sum(r["count"] for r in tasks) == 3000 and max(r["count"] for r in tasks) < 1000
+
+
+@pytest.mark.parametrize("kinds", [("bigint", "bigint"), ("string", "string"), ("int", "bigint"), ("double", "double")])
+@pytest.mark.parametrize("most", [1 << 23, 1 << 6])
+def test_marks_by_bits_are_those_of_a_plain_join(spark, monkeypatch, kinds, most):
+    """Null, hot and repeated keys, marks without a row, hashes that all have a bit."""
+    monkeypatch.setattr(links, "MOST_BITS", most)
+    held = "CASE WHEN id % 3 = 0 THEN NULL WHEN id % 7 = 0 THEN 5 WHEN id % 11 = 0 THEN -id ELSE id END"
+    rows = spark.range(9000).selectExpr(f"cast({held} AS {kinds[0]}) AS k", "id % 50 AS v")
+    marks = spark.range(5, 12000, 2).selectExpr(f"cast(id AS {kinds[1]}) AS k", "1 AS m")
+    for some in (marks, marks.limit(0)):
+        got, want = links.with_marks(rows, some, "k"), rows.join(some, "k", "left")
+        assert got.columns == want.columns
+        assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+
+
+def test_marks_are_not_broadcast(spark):
+    """Neither as they are nor, as Spark would from the size of their file, once for each salt."""
+    rows = spark.range(100).select(F.col("id").alias("k"), F.col("id").alias("v"))
+    marks = spark.range(40_000).select(F.col("id").alias("k"), F.lit(1).alias("m"))
+    joined = links.with_marks(rows, marks, "k")
+    assert joined.where("m = 1").count() == 100
+    plan = joined._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "BroadcastHashJoin [k" not in plan
+    words, size = links._hash_bits(marks, "k")
+    assert size == 1 << 19 and words.count() <= size // 64
+
+
+def test_large_sides_of_marks_are_not_broadcast_once_a_salt(spark, monkeypatch):
+    """Where not even their bits are sent."""
+    monkeypatch.setattr(links, "fits_broadcast", lambda frame: False)
+    rows = spark.range(100).select(F.col("id").alias("k"), F.col("id").alias("v"))
+    joined = links.with_marks(rows, rows.select("k", F.lit(1).alias("m")), "k")
+    assert "Broadcast" not in joined._jdf.queryExecution().executedPlan().toString()
