@@ -8,7 +8,7 @@ from collections import Counter
 
 import pytest
 
-from snapmart.llm import importance
+from snapmart.llm import importance, links
 
 
 def test_weights_equal_plain_counts(spark, given):
@@ -74,3 +74,19 @@ def test_awkward_documents(documents, awkward, spark):
     assert all(r["log_weight"] == 0 for r in rows if r["n_grams"] == 0)
     assert importance.resample(documents([]), target, 0.5).collect() == []
     assert importance.good_share(spark.createDataFrame([], "quality int")) == 1.0
+
+
+def test_target_ids_are_not_sent_to_the_driver(spark, monkeypatch):
+    plans = []
+
+    def seen(rows, marks, key):
+        joined = links.with_marks(rows, marks, key)
+        plans.append(joined._jdf.queryExecution().executedPlan().toString())
+        return joined
+
+    monkeypatch.setattr(importance, "with_marks", seen)
+    docs = spark.range(60).selectExpr("id AS doc_id", "concat('word w', id % 7) AS text")
+    target = spark.range(0, 50_000, 2).selectExpr("id AS doc_id")
+    total = importance.counts(docs, target, "doc_id", "text")
+    assert total.sum(axis=1).tolist() == [90, 180]
+    assert "SortMergeJoin" in plans[0] and "BroadcastHashJoin [doc_id" not in plans[0]
